@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from keyflow.llm import chat, mixing
+from keyflow.llm import bpe, chat, media, mixing
 
 QUERIES = {
+    "op2_media_columns": media.op2,
     "op5_chat_formatting": chat.op5,
+    "op6_bpe_codec": bpe.op6,
     "op10_source_mixing": mixing.op10,
 }
 
