@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from keyflow.llm import bpe, chat, media, mixing
+from keyflow.llm import bpe, chat, media, mixing, substrings
 
 QUERIES = {
     "op2_media_columns": media.op2,
     "op5_chat_formatting": chat.op5,
     "op6_bpe_codec": bpe.op6,
+    "op7_substring_dedup": substrings.op7,
     "op10_source_mixing": mixing.op10,
 }
 
 ORACLES = {
     "op5_chat_formatting": chat.ORACLE,
+    "op7_substring_dedup": substrings.ORACLE,
     "op10_source_mixing": mixing.ORACLE,
 }
