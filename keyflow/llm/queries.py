@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from keyflow.llm import bpe, chat, media, mixing, substrings
+from keyflow.llm import bpe, chat, lm, media, mixing, substrings
 
 QUERIES = {
     "op2_media_columns": media.op2,
+    "op3_lm_scoring": lm.op3,
     "op5_chat_formatting": chat.op5,
     "op6_bpe_codec": bpe.op6,
     "op7_substring_dedup": substrings.op7,
