@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from keyflow.llm import bpe, chat, lm, media, mixing, substrings
+from keyflow.llm import bpe, chat, langid, lm, media, mixing, quality, substrings
 
 QUERIES = {
     "op2_media_columns": media.op2,
@@ -10,6 +10,8 @@ QUERIES = {
     "op5_chat_formatting": chat.op5,
     "op6_bpe_codec": bpe.op6,
     "op7_substring_dedup": substrings.op7,
+    "op8_language_id": langid.op8,
+    "op9_quality_classifier": quality.op9,
     "op10_source_mixing": mixing.op10,
 }
 
