@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from keyflow.llm import bpe, chat, langid, lm, media, mixing, quality, substrings
+from keyflow.llm import bpe, chat, langid, lm, media, mixing, near, quality, substrings
 
 QUERIES = {
     "op2_media_columns": media.op2,
     "op3_lm_scoring": lm.op3,
+    "op4_jaccard_join": near.op4,
     "op5_chat_formatting": chat.op5,
     "op6_bpe_codec": bpe.op6,
     "op7_substring_dedup": substrings.op7,
