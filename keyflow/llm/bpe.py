@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -26,7 +27,7 @@ from pyspark.sql import types as T
 
 #: Fixed value: the split pattern of byte-level BPE vocabularies of this kind.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CACHE_UNITS, CACHE_CHARS = 300_000, 40
+CACHE_UNITS, CACHE_CHARS, CACHE_PAIRS = 250_000, 40, 500_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -77,6 +78,10 @@ class BpeCodec:
         self.offsets = np.concatenate([[0], np.cumsum(sizes)])
         self.blob = np.frombuffer(b"".join(table.get(i, b"") for i in range(max(table) + 1)), dtype=np.uint8)
         self.units: dict[str, bytes] = {}
+        self.old_units: dict[str, bytes] = {}
+        self.tokens: dict[str, list[int]] = {}
+        self.old_tokens: dict[str, list[int]] = {}
+        self.pairs: dict[tuple[int, int], bool] = {}
 
     def compatible(self, a: int, b: int, limit: int = 1 << 60) -> bool:
         """Whether no merge of rank below ``limit`` joins the end of a to the start of b.
@@ -105,13 +110,22 @@ class BpeCodec:
         longest = [0] * len(piece)
         for end, (n, rank) in self.automaton.iter(piece.decode("latin-1")):
             longest[end - n + 1] = rank
-        out, pos, live = [], 0, [True] * (len(piece) + 1)
+        out, pos, live, pairs, bytes_of = [], 0, [True] * (len(piece) + 1), self.pairs, self.bytes_of
+        if len(pairs) > CACHE_PAIRS:
+            pairs.clear()
         token = longest[0]
         while pos < len(piece):
             while token >= 0:
-                end = pos + len(self.bytes_of[token])
-                if live[end] and (not out or self.compatible(out[-1], token)):
-                    break
+                end = pos + len(bytes_of[token])
+                if live[end]:
+                    if not out:
+                        break
+                    pair = (out[-1], token)
+                    fits = pairs.get(pair)
+                    if fits is None:
+                        fits = pairs[pair] = self.compatible(*pair)
+                    if fits:
+                        break
                 token = self.shorter[token]
             if token >= 0:
                 out.append(token)
@@ -124,14 +138,29 @@ class BpeCodec:
                 token = self.shorter[token]
         return out
 
+    def _token(self, token: str) -> list[int]:
+        """Ids of one pre-token, remembered for two generations of the cache."""
+        known = self.tokens.get(token)
+        if known is None:
+            known = self.old_tokens.get(token)
+            if known is None:
+                known = [self.ids[t] for t in self.encode_bytes(token.encode())]
+            if len(token) <= CACHE_CHARS:
+                if len(self.tokens) >= CACHE_UNITS:
+                    self.tokens, self.old_tokens = {}, self.tokens
+                self.tokens[token] = known
+        return known
+
     def _unit(self, unit: str) -> bytes:
         """Ids of a stretch of text that no pre-token leaves, as int32 bytes."""
-        # Letters and digits newer than the vocabulary's tables count as symbols.
-        seen = unit if unit.isascii() else "".join("￿" if unicodedata.category(c) == "Cn" else c for c in unit)
-        ids = []
-        for m in self.pattern.finditer(seen):
-            ids += [self.ids[t] for t in self.encode_bytes(unit[m.start() : m.end()].encode())]
-        return np.array(ids, dtype=np.int32).tobytes()
+        if unit[0] == " " and unit[1:].isalpha():
+            return array("i", self._token(unit)).tobytes()
+        if unit.isascii():
+            ids = [i for token in self.pattern.findall(unit) for i in self._token(token)]
+        else:  # letters and digits newer than the vocabulary's tables count as symbols
+            seen = "".join("￿" if unicodedata.category(c) == "Cn" else c for c in unit)
+            ids = [i for m in self.pattern.finditer(seen) for i in self._token(unit[m.start() : m.end()])]
+        return array("i", ids).tobytes()
 
     def _plain(self, text: str, out: list[bytes]) -> None:
         """Encode text without special tokens.
@@ -161,10 +190,12 @@ class BpeCodec:
             if not piece or piece[-1].isspace():
                 open_unit = unit
                 continue
-            known = self._unit(unit)
+            known = self.old_units.get(piece) if open_unit is None else None
+            if known is None:
+                known = self._unit(unit)
             if open_unit is None and len(piece) <= CACHE_CHARS:
                 if len(self.units) >= CACHE_UNITS:
-                    self.units.clear()
+                    self.units, self.old_units = {}, self.units
                 self.units[piece] = known
             open_unit = None
             out.append(known)
