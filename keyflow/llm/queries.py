@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from keyflow.llm import bpe, chat, langid, lm, media, mixing, near, quality, substrings
+from keyflow.llm import bpe, chat, langid, lm, media, mixing, near, quality, substrings, vectors
 
 QUERIES = {
+    "op1_embedding_near_dedup": vectors.op1,
     "op2_media_columns": media.op2,
     "op3_lm_scoring": lm.op3,
     "op4_jaccard_join": near.op4,
