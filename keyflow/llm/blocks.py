@@ -30,19 +30,26 @@ BLOCK_SCHEMA = "block bigint, n_docs bigint, n_words bigint, payload binary"
 
 @dataclass
 class Block:
-    """Documents of one block: ids (with a mask of the present ones) and texts."""
+    """Documents of one block: ids (with a mask of the present ones), texts, and the
+    carried columns of the same rows, if any."""
 
     ids: np.ndarray
     present: np.ndarray
     texts: list[bytes]
+    carried: pa.RecordBatch | None = None
 
 
-def pack(ids: list[int | None], texts: list[bytes]) -> bytes:
+def pack(ids: list[int | None], texts: list[bytes], carried: list[pa.RecordBatch] = ()) -> bytes:
     sizes = np.array([len(t) for t in texts], dtype="<i8").tobytes()
     head = np.array([len(texts)], dtype="<i8").tobytes()
     known = np.array([i is not None for i in ids], dtype="u1").tobytes()
     numbers = np.array([i or 0 for i in ids], dtype="<i8").tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(b"".join([head, numbers, known, sizes, *texts]))
+    tail = pa.BufferOutputStream()
+    if carried:
+        with pa.ipc.new_stream(tail, carried[0].schema) as out:
+            for batch in carried:
+                out.write_batch(batch)
+    return zstandard.ZstdCompressor(level=1).compress(b"".join([head, numbers, known, sizes, *texts, tail.getvalue().to_pybytes()]))
 
 
 def unpack(payload: bytes) -> Block:
@@ -52,34 +59,44 @@ def unpack(payload: bytes) -> Block:
     present = np.frombuffer(data, "u1", n, 8 + 8 * n).astype(bool)
     sizes = np.frombuffer(data, "<i8", n, 8 + 9 * n)
     ends = 8 + 17 * n + np.cumsum(sizes)
-    return Block(ids, present, [data[e - s : e] for s, e in zip(sizes.tolist(), ends.tolist(), strict=True)])
+    texts = [data[e - s : e] for s, e in zip(sizes.tolist(), ends.tolist(), strict=True)]
+    end = int(ends[-1]) if n else 8
+    carried = pa.ipc.open_stream(data[end:]).read_all().combine_chunks().to_batches() if len(data) > end else []
+    return Block(ids, present, texts, carried[0] if carried else None)
 
 
-def text_blocks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def text_blocks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Written table of blocks over all rows; null texts are empty, null ids stay null.
 
-    A text above ``block_bytes`` makes a block of its own.
+    A text above ``block_bytes`` makes a block of its own. ``carry`` columns travel in
+    the block, renamed to their number.
     """
-    rows = df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    others = [F.col(f"`{c}`").alias(str(i)) for i, c in enumerate(carry)]
+    rows = df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"), *others)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, texts, held = [], [], 0
+        ids, texts, slices, held = [], [], [], 0
 
         def row():
             words = int(many_word_hashes(texts)[1][-1])
             return pa.RecordBatch.from_arrays(
-                [pa.array([secrets.randbits(63)], pa.int64()), pa.array([len(ids)], pa.int64()), pa.array([words], pa.int64()), pa.array([pack(ids, texts)], pa.binary())],
+                [pa.array([secrets.randbits(63)], pa.int64()), pa.array([len(ids)], pa.int64()), pa.array([words], pa.int64()), pa.array([pack(ids, texts, slices)], pa.binary())],
                 names=["block", "n_docs", "n_words", "payload"],
             )
 
         for batch in batches:
-            for ident, text in zip(batch.column(0), batch.column(1), strict=True):
+            rest, since = batch.select(batch.schema.names[2:]), 0
+            for at, (ident, text) in enumerate(zip(batch.column(0), batch.column(1), strict=True), 1):
                 ids.append(ident.as_py())
                 texts.append(text.as_py().encode())
                 held += len(texts[-1])
                 if held >= block_bytes:
+                    if carry:
+                        slices.append(rest.slice(since, at - since))
                     yield row()
-                    ids, texts, held = [], [], 0
+                    ids, texts, slices, held, since = [], [], [], 0, at
+            if carry and since < batch.num_rows:
+                slices.append(rest.slice(since))
         if ids:
             yield row()
 

@@ -69,7 +69,6 @@ def mixture(
     id_col: str = "doc_id",
     source_col: str = "source",
     size: Column | None = None,
-    carry: dict[str, Column] | None = None,
     weights: tuple[int, ...] = (5, 2, 1),
     share_percent: int = 150,
     max_repeats: int = 2,
@@ -79,8 +78,8 @@ def mixture(
 ) -> DataFrame:
     """Plan of the mix: one row per input row.
 
-    Returns ``id, source, size, source_size, target, epochs, part, taken`` and the
-    ``carry`` columns. Every document is taken ``epochs`` times in full; documents in
+    Returns ``id, source, key, size, source_size, target, epochs, part, taken``. Every
+    document is taken ``epochs`` times in full; documents in
     key order are then taken once more until the source's budget (its rounded target)
     is met. ``part`` is what that last pass takes: the whole size, 0, or, for the one
     document at the cut, the words still missing. With ``whole`` that document is
@@ -91,11 +90,10 @@ def mixture(
     size are interchangeable. No rows give no rows.
     """
     size = word_count(F.col("text")) if size is None else F.coalesce(size.cast("bigint"), F.lit(0))
-    carry = carry or {}
     base = written(
         df.select(
             F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.alias("size"),
-            random_key(F.col(id_col), seed).alias("key"), *[c.alias(k) for k, c in carry.items()],
+            random_key(F.col(id_col), seed).alias("key"),
         ),
         "sizes",
     )
@@ -121,20 +119,29 @@ def mixture(
     return (
         rows.withColumn("upto", F.sum("size").over(running)).join(offsets, ["source_rank", "bucket"])
         .withColumn("part", part.cast("bigint"))
-        .select("id", "source", "size", "source_size", "target", "epochs", "part", (F.col("epochs") * F.col("size") + F.col("part")).alias("taken"), *carry)
+        .select("id", "source", "key", "size", "source_size", "target", "epochs", "part", (F.col("epochs") * F.col("size") + F.col("part")).alias("taken"))
     )
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, seed: str = "mix", **options) -> DataFrame:
     """The mixed corpus: each row of ``docs`` as often as the mix takes it whole.
 
-    Same columns as ``docs``. Documents without words add nothing to any budget and
-    are kept once per full pass.
+    Same columns as ``docs``. What the plan says of a row follows from its source's
+    full passes and the key at which the last pass ends, so that the texts need no
+    shuffle: they meet one small row per source. Rows equal in id and size are taken
+    alike; documents without words come along with their neighbours.
     """
-    fields = [F.col(f"`{c}`") for c in docs.columns]
-    plan = mixture(docs, carry={"kept_row": F.struct(*fields)}, whole=True, **options)
-    copies = F.col("epochs") + F.when(F.col("part") > 0, 1).otherwise(0)
-    return plan.select(F.explode(F.array_repeat("kept_row", copies.cast("int"))).alias("r")).select("r.*")
+    plan = mixture(docs, whole=True, seed=seed, **options)
+    place = F.struct("key", "id", "size")
+    ends = written(
+        plan.groupBy("source").agg(F.max("epochs").alias("__epochs"), F.max(F.when(F.col("part") > 0, place)).alias("__end")).withColumnRenamed("source", "__source"),
+        "ends",
+    )
+    own = F.struct(random_key(F.col("doc_id"), seed).alias("key"), F.col("doc_id").alias("id"), word_count(F.col("text")).alias("size"))
+    copies = F.col("__epochs") + F.when(own <= F.col("__end"), 1).otherwise(0)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    mixed = docs.join(ends, F.col("source").eqNullSafe(F.col("__source")))
+    return mixed.select(F.explode(F.array_repeat(row, copies.cast("int"))).alias("__row")).select("__row.*")
 
 
 def op10(spark, sf_dir: str) -> DataFrame:

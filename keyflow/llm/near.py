@@ -130,7 +130,7 @@ def jaccard_classes(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     width: int = WIDTH, threshold: float = THRESHOLD, recall: float = RECALL, limit: int = LIMIT,
 ) -> DataFrame:
-    """One row per input row: ``id, n_copies, n_links, class_id``.
+    """One row per input row: ``id, h, n_copies, n_links, class_id`` (h: the text's md5).
 
     ``n_copies``: rows with exactly this text, ``n_links``: other rows whose text has
     similarity of at least ``threshold`` to this one, copies included; ``class_id``: the
@@ -241,9 +241,9 @@ def jaccard_classes(
     )
     alone = F.col("id").isNull() | F.col("sig").isNull()
     return (
-        signed.select("id", "h", alone.alias("alone")).join(about, "h", "left")
+        signed.select("id", F.col("h"), alone.alias("alone")).join(about, "h", "left")
         .select(
-            "id", F.when(F.col("alone"), 1).otherwise(F.col("copies")).cast("bigint").alias("n_copies"),
+            "id", "h", F.when(F.col("alone"), 1).otherwise(F.col("copies")).cast("bigint").alias("n_copies"),
             F.when(F.col("alone"), 0).otherwise(F.col("n_links")).cast("bigint").alias("n_links"),
             F.when(F.col("alone"), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
         )
@@ -253,18 +253,18 @@ def jaccard_classes(
 def first_of_class(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that stay: of each class the one with the smallest id.
 
-    Rows without words or id stay. Of several rows with that same id, one stays.
+    Rows without words or id stay; of rows equal in id and text, one stays.
     """
-    found = jaccard_classes(docs, **options)
-    drop = found.where("id IS NOT NULL AND class_id != id").select(F.col("id").alias("__id")).distinct()
-    kept = docs.join(drop, F.col("doc_id") == F.col("__id"), "left_anti")
-    again = found.where("id IS NOT NULL AND class_id = id AND n_copies > 1").groupBy("id").count().where("count > 1").select("id")
+    found = written(jaccard_classes(docs, **options).where("id IS NOT NULL").select(F.col("id").alias("__id"), F.col("h").alias("__h"), "class_id", "n_copies"), "classes")
+    drop = found.where("class_id != __id").select("__id", "__h").distinct()
+    same = (F.col("doc_id") == F.col("__id")) & (F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))) == F.col("__h"))
+    kept = docs.join(drop, same, "left_anti")
+    again = found.where("class_id = __id AND n_copies > 1").groupBy("__id", "__h").count().where("count > 1").select("__id", "__h")
     if again.isEmpty():
         return kept
-    fields = [F.col(f"`{c}`") for c in docs.columns]
-    marked = again.select(F.col("id").alias("__id"))
-    single = kept.join(marked, F.col("doc_id") == F.col("__id"), "left_semi").groupBy("doc_id", "text").agg(F.first(F.struct(*fields)).alias("__row")).select("__row.*")
-    return kept.join(marked, F.col("doc_id") == F.col("__id"), "left_anti").unionByName(single)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
+    single = kept.join(again, same).groupBy("__id", "__h").agg(F.min(row).alias("__row")).select("__row.*")
+    return kept.join(again, same, "left_anti").unionByName(single)
 
 
 def op4(spark, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from keyflow.llm.blocks import answers_by_block, cuts, key_ranges, text_blocks, unpack
 from keyflow.llm.store import written
-from keyflow.llm.words import gram_hashes, many_word_hashes
+from keyflow.llm.words import gram_hashes, many_word_hashes, word_hashes
 
 WIDTH, ANCHOR_WORDS = 13, 6
 _NOBODY = np.iinfo(np.int64).max
@@ -181,7 +181,7 @@ def covered(matches: np.ndarray, n_words: int, width: int) -> np.ndarray:
     return np.cumsum(change[:-1]) > 0
 
 
-def factored(blocks: DataFrame, found: DataFrame, make, schema: str) -> DataFrame:
+def factored(blocks: DataFrame, found: DataFrame, make, schema) -> DataFrame:
     """Apply ``make(block, index)`` to each block and the indices of its matching windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,6 +235,45 @@ def duplicate_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return factored(blocks, found, make, "doc_id bigint, n_words bigint, n_removed bigint, kept string")
 
 
+def without_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """``docs`` with the duplicate spans cut out of ``text``; other columns as they are.
+
+    A span goes with the white space after it. ``n_chars``, if there, is set to the new
+    length. Documents that had words and keep none go; a null text stays null.
+    """
+    blocks = text_blocks(docs, carry=tuple(docs.columns))
+    found = duplicate_factors(blocks, width)
+    docs_columns = docs.columns
+    place = docs_columns.index("text")
+    counted = docs_columns.index("n_chars") if "n_chars" in docs_columns else None
+
+    def make(block, index):
+        rows, texts = [], []
+        for t, (n, gone) in enumerate(_per_text(block, index, width)):
+            text = block.texts[t]
+            if gone is not None:
+                if gone.all():
+                    continue
+                starts = np.append(word_hashes(text)[1], len(text))
+                change = np.flatnonzero(np.diff(gone, prepend=gone[0])).tolist()
+                marks = [0, *(starts[c] for c in change), len(text)]
+                text = b"".join(text[a:b] for i, (a, b) in enumerate(zip(marks[:-1], marks[1:], strict=True)) if i % 2 == int(gone[0]))
+                text = text.decode()
+            else:
+                text = block.carried.column(place)[t].as_py()
+            rows.append(t)
+            texts.append(text)
+        out = block.carried.take(pa.array(rows, pa.int64()))
+        columns = list(out.columns)
+        columns[place] = pa.array(texts, pa.string())
+        if counted is not None:
+            lens = pa.array([None if t is None else len(t) for t in texts], pa.int64())
+            columns[counted] = lens.cast(columns[counted].type)
+        return pa.RecordBatch.from_arrays(columns, names=docs_columns)
+
+    return factored(blocks, found, make, docs.schema)
+
+
 def op7(spark, sf_dir: str) -> DataFrame:
     out = duplicate_spans(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
