@@ -33,6 +33,7 @@ from keyflow.llm.store import written
 from keyflow.llm.words import many_word_hashes, mix
 
 SYMBOL_BITS, STATES, ROUNDS, SEGMENT = 14, 8, 5, 256
+TOKENS_AT_ONCE = 1 << 19
 ADDED, PRIOR, HELD_OUT = 0.1, 20.0, 10
 END = 1 << SYMBOL_BITS
 
@@ -156,17 +157,33 @@ def _columns(symbols: np.ndarray, starts: np.ndarray, lens: np.ndarray):
     return order, [(symbols[starts[:m] + t], m) for t, m in enumerate(running.tolist())]
 
 
-def expected_counts(model: Model, symbols: np.ndarray, bounds: np.ndarray):
-    """Forward-backward over all sequences in segments: (start, after, move, emit) counts."""
+def expected_counts(model: Model, symbols: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Expected counts of all sequences, by rows: emissions, transitions, starts, later
+    starts. Segments are taken ``TOKENS_AT_ONCE`` tokens at a time, so that memory does
+    not follow the block."""
+    k = model.emit.shape[1]
+    total = np.zeros((END + 1 + k + 2, k))
     lens = np.diff(bounds)
     pieces = -(-lens // SEGMENT)
     owner = np.repeat(np.arange(len(lens)), pieces)
     nth = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
     starts = bounds[:-1][owner] + nth * SEGMENT
     sizes = np.minimum(SEGMENT, bounds[1:][owner] - starts)
+    step = TOKENS_AT_ONCE // SEGMENT
+    for at in range(0, len(owner), step):
+        part = slice(at, at + step)
+        first, after, move, emit = _forward_backward(model, symbols, starts[part], sizes[part], nth[part] == 0)
+        total += np.concatenate([emit, move, [first], [after]])
+    return total
+
+
+def _forward_backward(model: Model, symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray, opens: np.ndarray):
+    """(start, after, move, emit) counts of the given segments."""
     order, steps = _columns(symbols, starts, sizes)
     k = model.emit.shape[1]
-    is_first = (nth == 0)[order]
+    # Single precision is enough for counts that are summed in double precision.
+    model = Model(*(x.astype(np.float32) for x in (model.start, model.after, model.move, model.emit)))
+    is_first = opens[order]
     alphas, scales, emits = [], [], []
     for t, (sym, m) in enumerate(steps):
         e = model.emit[sym]
@@ -176,11 +193,11 @@ def expected_counts(model: Model, symbols: np.ndarray, bounds: np.ndarray):
         scales.append(s)
         emits.append(e)
     emit, move = np.zeros((END + 1, k)), np.zeros((k, k))
-    beta = np.ones((0, k))
+    beta = np.ones((0, k), np.float32)
     gammas = [None] * len(steps)
     for t in range(len(steps) - 1, -1, -1):
         m = steps[t][1]
-        full = np.ones((m, k))
+        full = np.ones((m, k), np.float32)
         if len(beta):
             ahead = emits[t + 1] * beta / scales[t + 1]
             full[: len(beta)] = ahead @ model.move.T
@@ -213,8 +230,7 @@ def train(blocks: DataFrame, totals: dict, states: int = STATES, rounds: int = R
                     symbols, ends = with_ends(hashes, bounds)
                     keep = np.repeat(~held, np.diff(ends))
                     lens = np.diff(ends)[~held]
-                    first, after, move, emit = expected_counts(sent.value, symbols[keep], np.concatenate([[0], np.cumsum(lens)]))
-                    total += np.concatenate([emit, move, [first], [after]])
+                    total += expected_counts(sent.value, symbols[keep], np.concatenate([[0], np.cumsum(lens)]))
             rows = np.flatnonzero(total.any(1))
             yield pa.RecordBatch.from_arrays([pa.array(rows), *[pa.array(total[rows, j]) for j in range(states)]], names=["row", *names])
 
