@@ -53,7 +53,7 @@ def main(args: list[str] | None = None) -> int:
         runner.run_snapshot(state, control, anchor_of(with_info), sink, c.source.db, lifetimes=c.include_ttl)
     trigger = None if found.once else f"{configuration.seconds(c.pipeline.flush_every if c.pipeline else '1s')} seconds"
     events = lambda: runner.log_stream(spark, c.source.path, control, c.source.db, c.source.max_bytes, c.source.session_id)
-    runner.supervise(lambda: runner.start(events(), sink, f"{c.checkpoint}/stream", trigger))
+    (runner.drain if found.once else runner.supervise)(lambda: runner.start(events(), sink, f"{c.checkpoint}/stream", trigger))
     return 0
 
 

@@ -118,6 +118,15 @@ def supervise(make: Callable[[], StreamingQuery], restarts: int = 5, pause: floa
             time.sleep(pause)
 
 
+def drain(make: Callable[[], StreamingQuery], restarts: int = 5, pause: float = 1.0) -> None:
+    """Take all that is there, in bounded batches: a query that takes what is available
+    fixes its end when it starts, so it is run again until it finds nothing new."""
+    while True:
+        query = supervise(make, restarts, pause)
+        if not any(p["numInputRows"] for p in query.recentProgress):
+            return
+
+
 def with_heartbeat(batch: DataFrame, control: Control, at: tuple[int, int], db: str = "db0") -> DataFrame:
     """The batch and one heartbeat at the given position."""
     from keyflow.functions.envelope import EVENT, heartbeat

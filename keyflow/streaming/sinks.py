@@ -144,7 +144,7 @@ def load_requests(rows: DataFrame, batch_id: int, sequence_column: str = "", lab
     return grouped.select(
         F.concat(F.lit("/api/"), database, F.lit("/"), name, F.lit("/_stream_load")).alias("path"), tag.alias("label"), F.array_join("columns", ",").alias("columns"),
         F.create_map(*[F.lit(x) for pair in headers.items() for x in pair]).alias("headers"),
-        F.concat(F.lit("["), F.array_join(F.array_sort(F.transform("all", F.to_json)), ","), F.lit("]")).alias("body"),
+        F.concat(F.lit("["), F.array_join(F.array_sort(F.transform("all", lambda v: F.to_json(v))), ","), F.lit("]")).alias("body"),
     )
 
 
