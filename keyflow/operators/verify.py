@@ -133,6 +133,12 @@ def repeated_snapshot_keys(events: DataFrame) -> DataFrame:
     return events.where("phase = 'snapshot'").groupBy("key", "source.seq").agg(F.count("*").alias("n")).where("n > 1")
 
 
+def corrections_after_log(events: DataFrame, arrival: str) -> DataFrame:
+    """Correction events that arrived after the first log event (they belong before)."""
+    first = events.where("phase = 'incremental'").agg(F.min(arrival).alias("first_log"))
+    return events.where("phase = 'correction'").join(F.broadcast(first)).where(F.col(arrival) > F.col("first_log")).drop("first_log")  # one row
+
+
 def contiguous_prefix(work: DataFrame) -> DataFrame:
     """One row ``pos``: the last position before the first ``ord`` not yet ``done``."""
     first_open = work.agg(F.min(F.when(~F.col("done"), F.col("ord"))).alias("open"))

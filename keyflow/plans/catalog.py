@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+import struct
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from keyflow.functions.envelope import args_encoding, decoded_args, partition_key, to_events, wire_args
+from keyflow.functions.decode import decode_log, resp_bytes
+from keyflow.functions.envelope import args_encoding, decoded_args, from_json_lines, partition_key, relative_expiry, to_events, wire_args, wire_json
 from keyflow.functions.position import literal_position, position, sequence_number
 from keyflow.operators import verify
-from keyflow.operators.coalesce import coalesce_rows
+from keyflow.operators.coalesce import apply_to_table, coalesce_rows
 from keyflow.operators.gate import after_anchor, first_seen, ordered_union
 from keyflow.operators.rules import Rule, column_shape, map_events, rendered, rows_of
 from keyflow.operators.snapshot import scan, snapshot_events
 from keyflow.operators.state import canonical, fold_hashes, fold_states
 from keyflow.plans.commandlog import ANCHOR, BATCH, CELLS_SQL, DB, LOG_SQL, SOURCE_ID, command_log, log_events, snapshot_state
 from keyflow.sources import workload
+from keyflow.streaming.sinks import batch_rows, load_requests
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -381,3 +386,157 @@ def q30_session_windows(spark, sf_dir):
     log = log_events(spark, sf_dir).withColumn("at", F.timestamp_seconds("source.exec_time_s")).withColumn("user_id", F.regexp_extract("key", r":(\d+)$", 1).cast("bigint"))
     return log.groupBy("user_id", F.session_window("at", "6 hours").alias("w")).agg(F.count("*").alias("n")).select(
         "user_id", F.unix_timestamp("w.start").alias("start_s"), F.unix_timestamp("w.end").alias("end_s"), "n")
+
+
+@query("""
+SELECT 'cust:' || c_custkey AS key, i AS part, CASE i WHEN 2 THEN 'EXPIRE' ELSE 'HMSET' END AS command,
+       CASE i WHEN 0 THEN 'name=' || c_name WHEN 1 THEN 'seg=' || c_mktsegment ELSE '3600=' END AS written
+FROM customer, range(0, 3) r(i) WHERE i < 2 OR c_custkey % 10 = 0
+UNION ALL SELECT 'nation:' || n_nationkey, 0, 'SET', n_name || '=' FROM nation""")
+def q31_snapshot_chunks(spark, sf_dir):
+    """A scan in chunks of one element, with lifetimes."""
+    commands = scan(snapshot_state(spark, sf_dir), chunk=1)
+    third = F.concat_ws("=", F.element_at("argv", 3), F.coalesce(F.try_element_at("argv", F.lit(4)), F.lit("")))
+    return commands.select("key", F.col("part").cast("bigint").alias("part"), F.element_at("argv", 1).alias("command"), third.alias("written"))
+
+
+@query("""
+SELECT 'cust:' || c_custkey AS key FROM customer WHERE c_custkey % 10 = 1 AND length(CAST(c_custkey AS VARCHAR)) = 3 AND 'cust:' || c_custkey >= 'cust:4'""")
+def q32_snapshot_resume(spark, sf_dir):
+    """A glob and a type filter, resumed at a key."""
+    return scan(snapshot_state(spark, sf_dir), pattern="cust:??1", types=("string", "hash"), resume=("hash", "cust:4")).select("key").distinct()
+
+
+@query(_with("""SELECT (SELECT min(id) FROM log WHERE id % 700 = 699) - 1 AS pos"""))
+def q33_contiguous_prefix(spark, sf_dir):
+    """Last entry before the first that is not done."""
+    log = command_log(spark, sf_dir)
+    return verify.contiguous_prefix(log.select(F.col("id").alias("ord"), (F.col("id") % 700 != 699).alias("done"), F.col("id").alias("pos")))
+
+
+@query("""SELECT 'cust:' || c_custkey AS key, 2 AS n FROM customer WHERE c_custkey % 40 = 3""")
+def q34_repeated_snapshot(spark, sf_dir):
+    """Snapshot events delivered twice; the companions of a key do not count as such."""
+    snap = snapshot_events(scan(snapshot_state(spark, sf_dir)), ANCHOR, SOURCE_ID)
+    again = snap.where(F.col("key").startswith("cust:") & (F.substring("key", 6, 20).try_cast("bigint") % 40 == 3))
+    return verify.repeated_snapshot_keys(snap.unionByName(again)).select("key", "n")
+
+
+@query(_with("""SELECT id, key FROM log WHERE id % 250 = 7 AND id > 1000"""))
+def q35_late_corrections(spark, sf_dir):
+    """Corrections that come after the log has begun (at entry 1000)."""
+    phase = F.when(F.col("id") % 250 == 7, "correction").when(F.col("id") < 1000, "snapshot").otherwise("incremental")
+    return verify.corrections_after_log(log_events(spark, sf_dir).withColumn("phase", phase), "id").select("id", "key")
+
+
+@query(_with("""
+SELECT id, CASE WHEN event_type = 'purchase' THEN 'setex' ELSE command END AS command,
+       CASE WHEN event_type = 'purchase' THEN CAST(3600 - id % 100 AS VARCHAR) ELSE NULL END AS ttl FROM log"""))
+def q36_relative_expiry(spark, sf_dir):
+    log = command_log(spark, sf_dir)
+    b = lambda c: c.cast("string").cast("binary")
+    absolute = F.array(b(F.lit("pksetexat")), F.element_at("argv", 2), b(F.col("exec_time_s") + 3600 - F.col("id") % 100), F.try_element_at("argv", F.lit(3)))
+    argv = F.when(F.element_at("argv", 1).cast("string") == "SET", absolute).otherwise(F.col("argv"))
+    out = log.withColumn("argv", relative_expiry(argv, F.col("exec_time_s")))
+    command = F.element_at("argv", 1).cast("string")
+    return out.select("id", command.alias("command"), F.when(command == "setex", F.element_at("argv", 3).cast("string")).alias("ttl"))
+
+
+def _raw_log(spark, sf_dir) -> DataFrame:
+    """The log as binary entries; every 83rd is cut short and every 89th says another length."""
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                content = resp_bytes(r["argv"])
+                entry = struct.pack("<HIIQIQI", 1, r["exec_time_s"], 1, r["id"], r["filenum"], r["offset"], len(content) + (r["id"] % 89 == 1)) + content
+                out.append(entry[:40] if r["id"] % 83 == 1 else entry)
+            yield pa.RecordBatch.from_arrays([batch.column("filenum"), batch.column("end"), pa.array([5] * len(out), pa.int32()), pa.array(out, pa.binary())], names=["pb_filenum", "pb_offset", "session_id", "binlog"])
+
+    return command_log(spark, sf_dir).select("id", "filenum", "offset", "end", "exec_time_s", "argv").mapInArrow(run, "pb_filenum bigint, pb_offset bigint, session_id int, binlog binary")
+
+
+@query(_with("""SELECT filenum, off AS "offset", pb_off AS end_offset, exec_time_s, command, key FROM log WHERE id % 83 <> 1 AND id % 89 <> 1"""))
+def q37_binary_decode(spark, sf_dir):
+    events = to_events(decode_log(_raw_log(spark, sf_dir), 5)[0], SOURCE_ID, DB)
+    return events.select("source.filenum", "source.offset", F.col("pb_end.offset").alias("end_offset"), "source.exec_time_s", "command", "key")
+
+
+@query(_with("""SELECT 'undecodable entry' AS reason, count(*) AS n FROM log WHERE id % 83 = 1 OR id % 89 = 1"""))
+def q38_quarantine(spark, sf_dir):
+    return decode_log(_raw_log(spark, sf_dir), 5)[1].groupBy("reason").agg(F.count("*").alias("n"))
+
+
+@query(_with("""SELECT id // 500 AS batch, max(filenum) AS filenum, arg_max(off, id) AS "offset", count(*) AS n FROM log GROUP BY 1"""))
+def q39_committed_position(spark, sf_dir):
+    """Largest position of each batch."""
+    log = command_log(spark, sf_dir)
+    out = log.groupBy(F.expr("id div 500").alias("batch")).agg(F.max(position()).alias("p"), F.count("*").alias("n"))
+    return out.select("batch", "p.filenum", "p.offset", "n")
+
+
+@query(_with("""
+SELECT 'user:' || user_id AS key, coalesce(arg_max(v, id) FILTER (f = 'name'), '') AS name, coalesce(arg_max(v, id) FILTER (f = 'tier'), '') AS tier
+FROM cells JOIN (SELECT user_id, max(id) FILTER (event_type = 'error') AS wiped FROM log GROUP BY user_id) USING (user_id)
+WHERE wiped IS NULL OR id > wiped GROUP BY user_id""", CELLS_SQL))
+def q40_export_columns(spark, sf_dir):
+    """Hash fields as columns, missing ones empty."""
+    states = fold_states(log_events(spark, sf_dir).where(F.col("key").startswith("user:"))).where("typ = 'hash'")
+    return states.select("key", *[F.coalesce(F.try_element_at("h", F.lit(f)), F.lit("")).alias(f) for f in ("name", "tier")])
+
+
+@query(_with("""
+, shapes AS (SELECT h.tab, h.pk, CASE WHEN h.wiped = h.last_id THEN '__DORIS_DELETE_SIGN__,uid' ELSE
+    array_to_string(list_sort(list_append(list(l.f), CASE WHEN h.tab = 'ods_user' THEN 'uid' ELSE 'id' END)), ',') END AS shape
+  FROM heads h LEFT JOIN live l USING (batch, tab, pk) GROUP BY h.tab, h.pk, h.wiped, h.last_id)
+SELECT '/api/information_schema/' || tab || '/_stream_load' AS path, shape AS columns, 'keyflow-7-' || substr(md5(tab || '|' || shape || '|0'), 1, 12) AS label, count(*) AS n
+FROM shapes GROUP BY tab, shape""", CELLS_SQL, _KEYED % 10**15))
+def q41_load_requests(spark, sf_dir):
+    """Bulk-load requests of the whole log, one a table and shape."""
+    requests = load_requests(batch_rows(log_events(spark, sf_dir), RULES), 7, chunk=10**9)
+    return requests.select("path", "columns", "label", F.size(F.from_json("body", "array<map<string,string>>")).cast("bigint").alias("n"))
+
+
+@query(_with(f"""SELECT 'inc:{SOURCE_ID}:' || filenum || ':' || off || ':0' AS event_id, key, command, exec_time_s FROM log"""))
+def q42_wire_round_trip(spark, sf_dir):
+    events = log_events(spark, sf_dir)
+    back = from_json_lines(events.select(wire_json(events).alias("value")))
+    return back.where("NOT malformed").select("event_id", "key", "command", "source.exec_time_s")
+
+
+@query(ORACLES["q17_final_table"])
+def q43_table_by_batches(spark, sf_dir):
+    """The target after two batches applied one after the other: as after one."""
+    rows = _rows(spark, sf_dir)
+    none = rows.limit(0).select("table", "pk", "cols")
+    middle = F.col("id") < 4321
+    once = apply_to_table(none, coalesce_rows(rows.where(middle), ("table", "pk"), "id"), ("table", "pk"))
+    twice = apply_to_table(once, coalesce_rows(rows.where(~middle), ("table", "pk"), "id"), ("table", "pk"))
+    return twice.select("table", "pk", rendered(F.col("cols")).alias("cols"))
+
+
+@query("""
+SELECT CASE WHEN c_custkey % 5 = 0 THEN 'HMSET' ELSE 'SET' END AS command, count(*) AS n, min('k:' || c_custkey) AS first_key FROM customer GROUP BY 1""")
+def q44_striped_load(spark, sf_dir):
+    n = spark.read.parquet(f"{sf_dir}/customer.parquet").count()
+    return to_events(workload.striped_load(spark, n), SOURCE_ID, DB).groupBy("command").agg(F.count("*").alias("n"), F.min("key").alias("first_key"))
+
+
+@query(_with("""SELECT key, count(*) AS n FROM log GROUP BY key HAVING count(*) >= 60"""))
+def q45_busy_keys(spark, sf_dir):
+    return log_events(spark, sf_dir).groupBy("key").agg(F.count("*").alias("n")).where("n >= 60")
+
+
+@query()
+def q46_churn_states(spark, sf_dir):
+    """States after a random storm of ten commands (no SQL form: an ordered fold)."""
+    n = spark.read.parquet(f"{sf_dir}/customer.parquet").count()
+    folded = fold_states(to_events(workload.churn(spark, n * 10, n), SOURCE_ID, DB))
+    return folded.select("key", "typ", canonical(folded).alias("state"), "events")
+
+
+@query()
+def q47_sampled_keys(spark, sf_dir):
+    """One key in eight, by hash (Spark's own, so no SQL form)."""
+    return verify.sampled(log_events(spark, sf_dir), 8).groupBy("key").agg(F.count("*").alias("n"))
