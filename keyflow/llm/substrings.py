@@ -6,9 +6,11 @@ windows meet in one block, and neighbouring windows mostly go there together.
 
 1. Text blocks announce their distinct anchors; a reference block answers which of
    them occur in more than one document.
-2. Windows with a shared anchor go to their reference block, which indexes them with
-   the smallest doc_id each starts in. A text's windows found there under a smaller
-   doc_id are matches.
+2. Each text block sends its distinct windows that have a shared anchor, with the
+   smallest doc_id each starts in there, to their reference blocks; these answer which
+   start in a smaller document elsewhere. Those, and windows of an earlier document of
+   the same text block, are matches. A passage that a third of all documents share
+   costs one entry a text block, not one a document.
 3. A text is factored greedily: from its first match the factor runs on as long as
    the next window matches too, in whatever block that window lies. Windows across a
    factor's end have been looked up like any other, so no match is lost there. A factor
@@ -72,13 +74,25 @@ def _announced(block, width: int, anchor_words: int):
     return anchor[first], low != high, low
 
 
-def duplicate_factors(blocks: DataFrame, width: int = WIDTH, anchor_words: int = ANCHOR_WORDS) -> DataFrame:
-    """``block, answers`` with the matched windows of each block (see module text).
+def _distinct_windows(block, width: int, anchor_words: int):
+    """(number of the distinct window or -1 for texts without id, text number) of each
+    window in order; then of each distinct window, in hash order: the window, its
+    anchor, and the smallest id that it starts in."""
+    owner, _, window, anchor = windows_of(block.texts, width, anchor_words)
+    fit = np.flatnonzero(block.present[owner])
+    order = fit[np.argsort(window[fit], kind="stable")]
+    if not len(order):
+        return np.full(len(owner), -1), owner, window[:0], anchor[:0], np.empty(0, np.int64)
+    first = np.flatnonzero(np.concatenate([[True], window[order][1:] != window[order][:-1]]))
+    number = np.full(len(owner), -1)
+    number[order] = np.repeat(np.arange(len(first)), np.diff(first, append=len(order)))
+    return number, owner, window[order[first]], anchor[order[first]], np.minimum.reduceat(block.ids[owner[order]], first)
 
-    An answer is, for one reference block, the packed indices (into the block's
-    windows, in order) of the windows that match.
-    """
-    n = key_ranges(blocks)
+
+def duplicate_factors(blocks: DataFrame, width: int = WIDTH, anchor_words: int = ANCHOR_WORDS) -> DataFrame:
+    """``block, answers``: for each text block and reference block, the packed numbers of
+    its distinct windows that start in a smaller document elsewhere (see module text)."""
+    n, anchor_words = key_ranges(blocks), min(anchor_words, width)
     packed = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
 
     def announce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,17 +139,14 @@ def duplicate_factors(blocks: DataFrame, width: int = WIDTH, anchor_words: int =
         for batch in batches:
             for b, payload, answers in zip(batch["block"].to_pylist(), batch["payload"], batch["answers"], strict=True):
                 block = unpack(payload.as_py())
-                owner, _, window, anchor = windows_of(block.texts, width, anchor_words)
+                _, _, window, anchor, ident = _distinct_windows(block, width, anchor_words)
                 known, _, _ = _announced(block, width, anchor_words)
                 bounds = cuts(_range_of(known, n), n)
                 live = np.zeros(len(known), bool)
                 for x in answers.as_py():
                     s, e = bounds[x["part"]], bounds[x["part"] + 1]
                     live[s:e] = np.unpackbits(np.frombuffer(x["answer"], np.uint8), count=e - s)
-                place = np.searchsorted(known, anchor)
-                ok = (place < len(known)) & block.present[owner]
-                ok[ok] = (known[place[ok]] == anchor[ok]) & live[place[ok]]
-                index = np.flatnonzero(ok)
+                index = np.flatnonzero(live[np.searchsorted(known, anchor)])  # every anchor is known
                 part = _range_of(anchor[index], n)
                 order = np.argsort(part, kind="stable")
                 index, part = index[order], part[order]
@@ -143,7 +154,7 @@ def duplicate_factors(blocks: DataFrame, width: int = WIDTH, anchor_words: int =
                 rows = {k: [] for k in ("block", "part", "windows", "index", "ids")}
                 for p in np.flatnonzero(np.diff(at)).tolist():
                     own = index[at[p] : at[p + 1]]
-                    for k, v in zip(rows, (b, p, window[own].tobytes(), own.astype(np.uint32).tobytes(), block.ids[owner[own]].tobytes()), strict=True):
+                    for k, v in zip(rows, (b, p, window[own].tobytes(), own.astype(np.uint32).tobytes(), ident[own].tobytes()), strict=True):
                         rows[k].append(v)
                 yield _rows(rows, packed)
 
@@ -181,30 +192,33 @@ def covered(matches: np.ndarray, n_words: int, width: int) -> np.ndarray:
     return np.cumsum(change[:-1]) > 0
 
 
-def factored(blocks: DataFrame, found: DataFrame, make, schema) -> DataFrame:
-    """Apply ``make(block, index)`` to each block and the indices of its matching windows."""
+def factored(blocks: DataFrame, found: DataFrame, width: int, anchor_words: int, make, schema) -> DataFrame:
+    """Apply ``make(block, matches)`` to each block and its matching windows, in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for payload, answers in zip(batch["payload"], batch["answers"], strict=True):
                 block = unpack(payload.as_py())
-                own = answers.as_py() or []
-                index = np.sort(np.concatenate([np.frombuffer(x["answer"], np.uint32) for x in own])) if own else np.empty(0, np.uint32)
-                yield make(block, index)
+                number, owner, window, _, ident = _distinct_windows(block, width, anchor_words)
+                elsewhere = np.zeros(len(window) + 1, bool)  # the last one stands for no number
+                for x in answers.as_py() or ():
+                    elsewhere[np.frombuffer(x["answer"], np.uint32)] = True
+                low = np.append(ident, _NOBODY)
+                yield make(block, np.flatnonzero(elsewhere[number] | (low[number] < block.ids[owner])))
 
     return blocks.select("block", "payload").join(found, "block", "left").mapInArrow(run, schema)
 
 
-def _per_text(block, index: np.ndarray, width: int):
+def _per_text(block, matches: np.ndarray, width: int):
     """For each text: its words, and the mask of those to remove."""
     _, bounds = many_word_hashes(block.texts)
     counts = np.diff(bounds)
     windows = np.maximum(counts - width + 1, 0)
     starts = np.concatenate([[0], np.cumsum(windows)])
-    at = np.searchsorted(index, starts)
+    at = np.searchsorted(matches, starts)
     for t in range(len(block.texts)):
         n = int(counts[t])
-        own = index[at[t] : at[t + 1]].astype(np.int64) - starts[t]
+        own = matches[at[t] : at[t + 1]] - starts[t]
         yield n, covered(own, n, width) if len(own) else None
 
 
@@ -220,9 +234,9 @@ def duplicate_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     blocks = text_blocks(df, id_col, text_col)
     found = duplicate_factors(blocks, width)
 
-    def make(block, index):
+    def make(block, matches):
         out = {k: [] for k in ("doc_id", "n_words", "n_removed", "kept")}
-        for ident, known, text, (n, gone) in zip(block.ids.tolist(), block.present, block.texts, _per_text(block, index, width), strict=True):
+        for ident, known, text, (n, gone) in zip(block.ids.tolist(), block.present, block.texts, _per_text(block, matches, width), strict=True):
             words = text.split()
             if gone is not None:
                 words = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
@@ -232,7 +246,7 @@ def duplicate_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             out["kept"].append(b" ".join(words).decode())
         return _rows(out, [pa.int64(), pa.int64(), pa.int64(), pa.string()])
 
-    return factored(blocks, found, make, "doc_id bigint, n_words bigint, n_removed bigint, kept string")
+    return factored(blocks, found, width, min(ANCHOR_WORDS, width), make, "doc_id bigint, n_words bigint, n_removed bigint, kept string")
 
 
 def without_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -247,9 +261,9 @@ def without_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     place = docs_columns.index("text")
     counted = docs_columns.index("n_chars") if "n_chars" in docs_columns else None
 
-    def make(block, index):
+    def make(block, matches):
         rows, texts = [], []
-        for t, (n, gone) in enumerate(_per_text(block, index, width)):
+        for t, (n, gone) in enumerate(_per_text(block, matches, width)):
             text = block.texts[t]
             if gone is not None:
                 if gone.all():
@@ -271,7 +285,7 @@ def without_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             columns[counted] = lens.cast(columns[counted].type)
         return pa.RecordBatch.from_arrays(columns, names=docs_columns)
 
-    return factored(blocks, found, make, docs.schema)
+    return factored(blocks, found, width, min(ANCHOR_WORDS, width), make, docs.schema)
 
 
 def op7(spark, sf_dir: str) -> DataFrame:
