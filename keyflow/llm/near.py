@@ -270,3 +270,23 @@ def first_of_class(docs: DataFrame, **options) -> DataFrame:
 def op4(spark, sf_dir: str) -> DataFrame:
     found = jaccard_classes(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return found.select(F.col("id").alias("doc_id"), "n_copies", "n_links", "class_id", (F.col("id") == F.col("class_id")).alias("kept"))
+
+
+ORACLE = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT rid, doc_id, unnest(list_distinct([array_to_string(w[i:i + 4], ' ') for i in range(1, greatest(1, len(w) - 4) + 1)])) AS s
+  FROM d WHERE len(w) > 0 AND doc_id IS NOT NULL),
+sizes AS (SELECT rid, count(*) AS n FROM sets GROUP BY rid),
+common AS (SELECT a.rid, b.rid AS other, a.doc_id AS i, b.doc_id AS j, count(*) AS c FROM sets a JOIN sets b ON a.s = b.s AND a.rid <> b.rid GROUP BY ALL),
+pairs AS (SELECT c.rid, i, j FROM common c JOIN sizes x ON x.rid = c.rid JOIN sizes y ON y.rid = c.other WHERE 5 * c >= 4 * (x.n + y.n - c)),
+links AS (SELECT rid, count(*) AS n_links FROM pairs GROUP BY rid),
+copies AS (SELECT text, count(*) AS n_copies FROM d WHERE len(w) > 0 AND doc_id IS NOT NULL GROUP BY text),
+steps AS (SELECT DISTINCT i, j FROM pairs),
+reach AS (SELECT i, j FROM steps UNION SELECT r.i, s.j FROM reach r JOIN steps s ON s.i = r.j),
+roots AS (SELECT i, min(least(i, j)) AS root FROM reach GROUP BY i)
+SELECT d.doc_id, CASE WHEN d.doc_id IS NULL THEN 1 ELSE coalesce(k.n_copies, 1) END AS n_copies, coalesce(l.n_links, 0) AS n_links,
+       coalesce(r.root, d.doc_id) AS class_id, d.doc_id = coalesce(r.root, d.doc_id) AS kept
+FROM d LEFT JOIN links l USING (rid) LEFT JOIN copies k ON k.text = d.text LEFT JOIN roots r ON r.i = d.doc_id
+"""

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyflow.llm.langid import fold
-from keyflow.llm.mixing import word_count
 from keyflow.llm.words import WORD_PATTERN
 
 SAMPLE_ROWS, THRESHOLD = 12_000, 0.3

@@ -18,6 +18,8 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_embedding_near_dedup": vectors.ORACLE,
+    "op4_jaccard_join": near.ORACLE,
     "op5_chat_formatting": chat.ORACLE,
     "op7_substring_dedup": substrings.ORACLE,
     "op10_source_mixing": mixing.ORACLE,

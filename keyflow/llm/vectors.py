@@ -230,3 +230,22 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
 
 def op1(spark, sf_dir: str) -> DataFrame:
     return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet")).withColumnRenamed("id", "vec_id")
+
+
+ORACLE = r"""
+WITH RECURSIVE v AS (SELECT row_number() OVER () AS rid, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+n AS (
+  SELECT rid, vec_id, e, sqrt(list_dot_product(e, e)) AS norm FROM v
+  WHERE vec_id IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0),
+pairs AS (
+  SELECT a.rid, a.vec_id AS i, b.vec_id AS j FROM n a JOIN n b ON a.rid <> b.rid
+  AND CASE WHEN len(a.e) = len(b.e) THEN list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.95 ELSE false END),
+links AS (SELECT rid, count(*) AS n_links FROM pairs GROUP BY rid),
+steps AS (SELECT DISTINCT i, j FROM pairs),
+reach AS (SELECT i, j FROM steps UNION SELECT r.i, s.j FROM reach r JOIN steps s ON s.i = r.j),
+roots AS (SELECT i, min(least(i, j)) AS root FROM reach GROUP BY i)
+SELECT v.vec_id, coalesce(l.n_links, 0) AS n_links, coalesce(r.root, v.vec_id) AS component_id,
+       coalesce(v.vec_id = coalesce(r.root, v.vec_id), true) AS kept
+FROM v LEFT JOIN links l USING (rid) LEFT JOIN roots r ON r.i = v.vec_id
+"""
