@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 from keyflow.functions.decode import decode_log, resp_bytes
 from keyflow.functions.envelope import args_encoding, decoded_args, from_json_lines, partition_key, relative_expiry, to_events, wire_args, wire_json
-from keyflow.functions.position import literal_position, position, sequence_number
+from keyflow.functions.position import position, sequence_number
 from keyflow.operators import verify
 from keyflow.operators.coalesce import apply_to_table, coalesce_rows
 from keyflow.operators.gate import after_anchor, first_seen, ordered_union
-from keyflow.operators.rules import Rule, column_shape, map_events, rendered, rows_of
+from keyflow.operators.rules import Rule, column_shape, map_events, rendered
 from keyflow.operators.snapshot import scan, snapshot_events
 from keyflow.operators.state import canonical, fold_hashes, fold_states
 from keyflow.plans.commandlog import ANCHOR, BATCH, CELLS_SQL, DB, LOG_SQL, SOURCE_ID, command_log, log_events, snapshot_state
