@@ -17,9 +17,11 @@ from keyflow.operators.gate import after_anchor, first_seen, ordered_union
 from keyflow.operators.rules import Rule, column_shape, map_events, rendered
 from keyflow.operators.snapshot import scan, snapshot_events
 from keyflow.operators.state import canonical, fold_hashes, fold_states
-from keyflow.plans.commandlog import ANCHOR, BATCH, CELLS_SQL, DB, LOG_SQL, SOURCE_ID, command_log, log_events, snapshot_state
+from keyflow.plans.commandlog import ANCHOR, BATCH, CELLS_SQL, DB, LOG_SQL, SOURCE_ID, command_log, log_events, snapshot_state, streamed_events
 from keyflow.sources import workload
+from keyflow.streaming.runner import collected
 from keyflow.streaming.sinks import batch_rows, load_requests
+from keyflow.streaming.stateful import without_redeliveries
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -540,3 +542,18 @@ def q46_churn_states(spark, sf_dir):
 def q47_sampled_keys(spark, sf_dir):
     """One key in eight, by hash (Spark's own, so no SQL form)."""
     return verify.sampled(log_events(spark, sf_dir), 8).groupBy("key").agg(F.count("*").alias("n"))
+
+
+@query(_with("""SELECT exec_time_s // 3600 * 3600 AS start_s, count(*) AS n FROM log GROUP BY 1"""))
+def q48_streamed_windows(spark, sf_dir):
+    """Tumbling windows of the log as a stream."""
+    timed = streamed_events(spark, sf_dir).withColumn("at", F.timestamp_seconds("source.exec_time_s")).withWatermark("at", "1 hour")
+    counts = timed.groupBy(F.window("at", "1 hour").alias("w")).agg(F.count("*").alias("n"))
+    return collected(counts.select(F.unix_timestamp("w.start").alias("start_s"), "n"), "complete")
+
+
+@query(_with("""SELECT id, key, command FROM log WHERE (filenum, pb_off) > (%d, %d)""" % ANCHOR))
+def q49_streamed_gate(spark, sf_dir):
+    """The stream after its anchor, each entry once although it comes twice."""
+    e = streamed_events(spark, sf_dir).where(after_anchor(F.col("pb_end"), *ANCHOR))
+    return collected(without_redeliveries(e.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))).select("id", "key", "command"))

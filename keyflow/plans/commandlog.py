@@ -18,7 +18,11 @@ BATCH = 500
 
 def command_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id, filenum, offset, pb_end, seq, exec_time_s, argv`` and ``end`` (pb_end's offset)."""
-    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return log_of(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+def log_of(ev: DataFrame) -> DataFrame:
+    """The log of a table or stream of events."""
     k, user = F.get_json_object("props", "$.k"), F.col("user_id").cast("string")
     user_key, text = F.concat(F.lit("user:"), user), F.col("value").cast("decimal(18,2)").cast("string")
     argv = (
@@ -43,6 +47,12 @@ def log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_events(command_log(spark, sf_dir), SOURCE_ID, DB)
 
 
+def streamed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same events as a stream (of the one file; a stream wants a directory)."""
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    return to_events(log_of(spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)), SOURCE_ID, DB)
+
+
 def snapshot_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as hashes and nations as strings, in the state layout."""
     customer, nation = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("customer", "nation"))

@@ -8,7 +8,9 @@ after the sink returned, so deliveries are at least once and sinks idempotent.
 from __future__ import annotations
 
 import json
+import tempfile
 import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -118,6 +120,22 @@ def supervise(make: Callable[[], StreamingQuery], restarts: int = 5, pause: floa
             time.sleep(pause)
 
 
+def collected(stream: DataFrame, mode: str = "append") -> DataFrame:
+    """Run a stream over all that is there and read what it gave: the batches appended,
+    or, in complete mode, the last one. Checkpoint and output go to the folder that
+    ``spark.checkpoint.dir`` names (a temporary one where it is unset)."""
+    spark = stream.sparkSession
+    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="keyflow-")
+    place = f"{base.rstrip('/')}/keyflow-{uuid.uuid4().hex}"
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{place}/out" if mode == "complete" else f"{place}/out/batch={number}")
+
+    query = stream.writeStream.outputMode(mode).foreachBatch(keep).option("checkpointLocation", f"{place}/checkpoint").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{place}/out").select(*stream.columns)
+
+
 def drain(make: Callable[[], StreamingQuery], restarts: int = 5, pause: float = 1.0) -> None:
     """Take all that is there, in bounded batches: a query that takes what is available
     fixes its end when it starts, so it is run again until it finds nothing new."""
