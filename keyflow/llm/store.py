@@ -18,6 +18,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not base:
         base = "file://" + tempfile.mkdtemp(prefix="keyflow-")
         spark.conf.set("spark.checkpoint.dir", base)
+    if base.startswith("/"):  # in the default file system, which other readers do not know
+        default = spark._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"
+        base = default.rstrip("/").replace("file:", "file://") + base if default.startswith("file:") else default.rstrip("/") + base
     return base.rstrip("/")
 
 
