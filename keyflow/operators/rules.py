@@ -84,6 +84,7 @@ def _as_map(pairs: Column) -> Column:
     return F.map_from_entries(F.transform(last, lambda p: F.struct(p["k"], p["v"])))
 
 
+PAIRS = "__pairs"
 EMPTY = "CAST(map() AS MAP<STRING, STRING>)"
 
 
@@ -108,7 +109,7 @@ def compile_rule(number: int, rule: Rule, compat: bool = False) -> Column:
     matches = (rule.pattern.matches(key) if rule.pattern else F.lit(True)) & (deleting | kind.isin(*rule.types))
     empty = F.expr(EMPTY)
 
-    pairs = _as_map(_pairs(args))
+    pairs = F.col(PAIRS)
     removed = F.map_from_entries(F.transform(F.array_distinct(F.slice(args, 3, F.greatest(F.size(args) - 2, F.lit(0)))), lambda f: F.struct(f, F.lit("" if compat else None).cast("string"))))
     is_hdel = (F.col("command") if compat else command) == "HDEL"
     hash_all = F.when(is_hdel, removed).when(command.isin("HSET", "HMSET"), pairs).otherwise(pairs if compat else empty)
@@ -156,8 +157,10 @@ def map_events(events: DataFrame, rules: list[Rule], compat: bool = False) -> Da
     if not rules:
         raise RuleError("no rules")
     chosen = F.coalesce(*[compile_rule(i, r, compat) for i, r in enumerate(rules)])
-    # Through a generator, so that no later use of the struct repeats its expression.
-    return events.where(F.col("phase") != "heartbeat").select("*", F.explode(F.array(chosen)).alias("row"))
+    # Through generators, so that no later use of either result repeats its expression.
+    pairs = F.when(F.col("data_type") == "hash", _as_map(_pairs(F.col("args"))))
+    paired = events.where(F.col("phase") != "heartbeat").select("*", F.explode(F.array(pairs)).alias(PAIRS))
+    return paired.select("*", F.explode(F.array(chosen)).alias("row")).drop(PAIRS)
 
 
 def rows_of(mapped: DataFrame) -> DataFrame:

@@ -71,9 +71,8 @@ def batch_rows(events: DataFrame, rules: list[Rule], compat: bool = False) -> Da
     if wrong:
         raise SinkError(f"{wrong[0].key}: {wrong[0].error}")
     rows = rows_of(mapped).withColumn("pk_text", rendered(F.col("pk"))).withColumn("at", F.struct("filenum", "offset", "seq"))
-    final = coalesce_rows(rows, ("table", "pk_text"), "at")
-    about = rows.groupBy("table", "pk_text").agg(F.max_by("pk", "at").alias("pk"), F.max("at").alias("last"))
-    return final.join(about, ["table", "pk_text"])
+    also = (F.max_by("pk", "at").alias("pk"), F.max("at").alias("at"))
+    return coalesce_rows(rows, ("table", "pk_text"), "at", also).withColumnRenamed("at", "last")
 
 
 def write_sql(rows: DataFrame, connect: Callable[[], object], kind: str, chunk: int = 500) -> None:
