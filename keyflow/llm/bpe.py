@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 #: Fixed value: the split pattern of byte-level BPE vocabularies of this kind.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CACHE_UNITS, CACHE_CHARS, CACHE_PAIRS = 250_000, 40, 500_000
+CACHE_UNITS, CACHE_CHARS, CACHE_PAIRS = 120_000, 40, 200_000
 
 
 def byte_letters() -> dict[str, int]:
