@@ -255,11 +255,12 @@ def without_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     A span goes with the white space after it. ``n_chars``, if there, is set to the new
     length. Documents that had words and keep none go; a null text stays null.
     """
-    blocks = text_blocks(docs, carry=tuple(docs.columns))
-    found = duplicate_factors(blocks, width)
     docs_columns = docs.columns
-    place = docs_columns.index("text")
-    counted = docs_columns.index("n_chars") if "n_chars" in docs_columns else None
+    others = tuple(c for c in docs_columns if c != "text")
+    absent = "__no_text"
+    blocks = text_blocks(docs.withColumn(absent, F.col("text").isNull()), carry=(*others, absent))
+    found = duplicate_factors(blocks, width)
+    counted = others.index("n_chars") if "n_chars" in others else None
 
     def make(block, matches):
         rows, texts = [], []
@@ -272,17 +273,13 @@ def without_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                 change = np.flatnonzero(np.diff(gone, prepend=gone[0])).tolist()
                 marks = [0, *(starts[c] for c in change), len(text)]
                 text = b"".join(text[a:b] for i, (a, b) in enumerate(zip(marks[:-1], marks[1:], strict=True)) if i % 2 == int(gone[0]))
-                text = text.decode()
-            else:
-                text = block.carried.column(place)[t].as_py()
             rows.append(t)
-            texts.append(text)
-        out = block.carried.take(pa.array(rows, pa.int64()))
-        columns = list(out.columns)
-        columns[place] = pa.array(texts, pa.string())
+            texts.append(None if block.carried.column(len(others))[t].as_py() else text.decode())
+        columns = list(block.carried.take(pa.array(rows, pa.int64())).columns[: len(others)])
         if counted is not None:
             lens = pa.array([None if t is None else len(t) for t in texts], pa.int64())
             columns[counted] = lens.cast(columns[counted].type)
+        columns.insert(docs_columns.index("text"), pa.array(texts, pa.string()))
         return pa.RecordBatch.from_arrays(columns, names=docs_columns)
 
     return factored(blocks, found, width, min(ANCHOR_WORDS, width), make, docs.schema)
