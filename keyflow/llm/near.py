@@ -4,8 +4,8 @@ Texts are sets of ``width``-word shingles. In each run, a text goes to the node
 minimum-hash token of its set (a token that it shares with a text of similarity s with
 probability s). Nodes of more than ``limit`` texts are split again: each text goes on
 to one child for each of ``BRANCHES`` further sampled tokens, so that similar texts
-keep meeting while others part; nodes still large at the last level are compared in
-blocks. Small nodes are compared exactly. The number of runs follows from the target
+keep meeting while others part. A node of which half or more stay together in a child,
+and any that is still large at the last level, is compared in blocks. Small nodes are compared exactly. The number of runs follows from the target
 recall at the threshold. Equal texts are one set from the start, and a pair counts only
 in the smallest of its common nodes, so links are counted without listing pairs.
 """
@@ -24,7 +24,7 @@ from keyflow.llm.store import connected_components, written
 from keyflow.llm.words import gram_hashes, many_word_hashes, stream
 
 WIDTH, THRESHOLD, RECALL = 5, 0.8, 0.9999
-BRANCHES, LEVELS, LIMIT = 3, 3, 256
+BRANCHES, LEVELS, LIMIT, ALIKE = 3, 3, 256, 0.5
 CHUNK_BYTES, CHUNK_COLUMNS = 2 << 20, 4096
 
 
@@ -176,15 +176,23 @@ def jaccard_classes(
         nodes = written(nodes.join(sizes, "node"), "nodes")
         done = nodes if level == LEVELS else nodes.where(F.col("members") <= limit)
         leaves = done if leaves is None else leaves.unionByName(done)
-        if level < LEVELS:
-            steps = F.array(*[F.lit(b) for b in range(BRANCHES)])
-            place = coordinate(F.col("run"), level, F.col("branch"), runs)
-            nodes = (
-                nodes.where(F.col("members") > limit).select("rep", "h", "copies", "run", "node")
-                .join(classes.select("rep", "h", "sig"), ["rep", "h"])
-                .withColumn("branch", F.explode(steps))
-                .select("rep", "h", "copies", "run", F.xxhash64("node", "branch", F.element_at("sig", (place + 1).cast("int"))).alias("node"))
-            )
+        if level == LEVELS:
+            break
+        steps = F.array(*[F.lit(b) for b in range(BRANCHES)])
+        place = coordinate(F.col("run"), level, F.col("branch"), runs)
+        large = nodes.where(F.col("members") > limit)
+        children = written(
+            large.select("rep", "h", "copies", "run", F.col("node").alias("parent"), F.col("members").alias("of"))
+            .join(classes.select("rep", "h", "sig"), ["rep", "h"])
+            .withColumn("branch", F.explode(steps))
+            .select("rep", "h", "copies", "run", "parent", "of", F.xxhash64("parent", "branch", F.element_at("sig", (place + 1).cast("int"))).alias("node")),
+            "children",
+        )
+        # Texts that stay together are alike: their node is compared as it is.
+        kept = children.groupBy("parent", "of", "node").agg(F.count("*").alias("n")).groupBy("parent", "of").agg(F.max("n").alias("n"))
+        alike = kept.where(F.col("n") >= ALIKE * F.col("of")).select("parent")
+        leaves = leaves.unionByName(large.join(alike.withColumnRenamed("parent", "node"), "node", "left_semi"))
+        nodes = children.join(alike, "parent", "left_anti").select("rep", "h", "copies", "run", "node")
 
     blocks = F.ceil(F.col("members") / limit).cast("int")
     side = F.when(blocks > 1, F.pmod(F.xxhash64("rep", "h", "node"), blocks)).otherwise(0).cast("int")
