@@ -5,9 +5,13 @@ minimum-hash token of its set (a token that it shares with a text of similarity
 probability s). Nodes of more than ``limit`` texts are split again: each text goes on
 to one child for each of ``BRANCHES`` further sampled tokens, so that similar texts
 keep meeting while others part. A node of which half or more stay together in a child,
-and any that is still large at the last level, is compared in blocks. Small nodes are compared exactly. The number of runs follows from the target
-recall at the threshold. Equal texts are one set from the start, and a pair counts only
-in the smallest of its common nodes, so links are counted without listing pairs.
+and any that is still large at the last level, is compared in blocks, bounded in texts
+and in bytes. Small nodes are compared by brute force, in two steps: minimum-hash
+sketches of a few bytes first, which tell the texts that may have a partner in their
+node, then the shingles themselves of those texts alone. The number of runs follows from
+the target recall at the threshold. Equal texts are one set from the start, and a pair
+counts only in the smallest of its common nodes, so links are counted without listing
+pairs.
 """
 
 from __future__ import annotations
@@ -20,11 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyflow.llm.store import connected_components, written
+from keyflow.llm.store import connected_components, discard, written
 from keyflow.llm.words import gram_hashes, many_word_hashes, stream
 
 WIDTH, THRESHOLD, RECALL = 5, 0.8, 0.9999
 BRANCHES, LEVELS, LIMIT, ALIKE = 3, 3, 256, 0.5
+LEAF_BYTES, SKETCH_MISS = 4 << 20, 1e-7
 CHUNK_BYTES, CHUNK_COLUMNS = 2 << 20, 4096
 
 
@@ -45,6 +50,30 @@ def coordinate(run, level: int, branch: int, runs: int):
     return run if level == 0 else runs + (run * (LEVELS - 1) + level - 1) * BRANCHES + branch
 
 
+def sketch_cut(size: int, threshold: float, miss: float = SKETCH_MISS) -> int:
+    """Equal coordinates of ``size`` that a pair at the threshold has, but for ``miss``."""
+    below, cut = 0.0, 0
+    while cut < size:
+        below += math.comb(size, cut) * threshold**cut * (1 - threshold) ** (size - cut)
+        if below > miss:
+            break
+        cut += 1
+    return cut
+
+
+def maybe_linked(sketches: np.ndarray, sides: np.ndarray, across: bool, cut: int) -> np.ndarray:
+    """Which rows of (texts, size) sketches agree with another in ``cut`` places or more,
+    of the other side if ``across``."""
+    agree = np.zeros((len(sketches), len(sketches)), dtype=np.int16)
+    for column in sketches.T:
+        agree += column[:, None] == column[None, :]
+    near = agree >= cut
+    np.fill_diagonal(near, False)
+    if across:
+        near &= sides[:, None] != sides[None, :]
+    return near.any(1)
+
+
 def shingles(words: np.ndarray, width: int) -> np.ndarray:
     """Hashes of a text's shingles; a text of fewer words is one shingle."""
     return gram_hashes(words, min(width, len(words))) if len(words) else np.empty(0, np.uint64)
@@ -158,22 +187,28 @@ def jaccard_classes(
                     for i, row in zip(some, signatures([texts[i] for i in some], width, size).view(np.int64), strict=True):
                         lists[i - at] = row
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, end - at), batch.column(1).slice(at, end - at), pa.array(lists, pa.list_(pa.int64()))], names=["id", "h", "sig"]
-                )
+                    [
+                        batch.column(0).slice(at, end - at), batch.column(1).slice(at, end - at), pa.array(lists, pa.list_(pa.int64())),
+                        pa.array([len(t) for t in texts[at:end]], pa.int64()),
+                    ],
+                    names=["id", "h", "sig", "bytes"],
+                )
                 at = end
 
-    signed = written(base.select("id", "h", "text").mapInArrow(sign, "id bigint, h binary, sig array<bigint>"), "signatures", "none")
+    signed = written(base.select("id", "h", "text").mapInArrow(sign, "id bigint, h binary, sig array<bigint>, bytes bigint"), "signatures", "none")
     able = signed.where("id IS NOT NULL AND sig IS NOT NULL")
-    classes = written(able.groupBy("h").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("sig").alias("sig")), "classes", "none")
+    classes = written(able.groupBy("h").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("sig").alias("sig"), F.max("bytes").alias("bytes")), "classes", "none")
 
-    nodes = classes.select(
-        "rep", "h", "copies",
+    member = ("rep", "h", "copies", "bytes")
+    used, nodes = [], classes.select(
+        *member,
         F.posexplode(F.transform(F.slice("sig", 1, runs), lambda v, i: F.xxhash64(i, v))).alias("run", "node"),
     )
     leaves = None
     for level in range(1, LEVELS + 1):
-        sizes = nodes.groupBy("node").agg(F.count("*").alias("members")).where("members > 1")
+        sizes = nodes.groupBy("node").agg(F.count("*").alias("members"), F.sum("bytes").alias("held")).where("members > 1")
         nodes = written(nodes.join(sizes, "node"), "nodes")
+        used.append(nodes)
         done = nodes if level == LEVELS else nodes.where(F.col("members") <= limit)
         leaves = done if leaves is None else leaves.unionByName(done)
         if level == LEVELS:
@@ -182,29 +217,78 @@ def jaccard_classes(
         place = coordinate(F.col("run"), level, F.col("branch"), runs)
         large = nodes.where(F.col("members") > limit)
         children = written(
-            large.select("rep", "h", "copies", "run", F.col("node").alias("parent"), F.col("members").alias("of"))
+            large.select(*member, "run", F.col("node").alias("parent"), F.col("members").alias("of"))
             .join(classes.select("rep", "h", "sig"), ["rep", "h"])
             .withColumn("branch", F.explode(steps))
-            .select("rep", "h", "copies", "run", "parent", "of", F.xxhash64("parent", "branch", F.element_at("sig", (place + 1).cast("int"))).alias("node")),
+            .select(*member, "run", "parent", "of", F.xxhash64("parent", "branch", F.element_at("sig", (place + 1).cast("int"))).alias("node")),
             "children",
         )
+        used.append(children)
         # Texts that stay together are alike: their node is compared as it is.
         kept = children.groupBy("parent", "of", "node").agg(F.count("*").alias("n")).groupBy("parent", "of").agg(F.max("n").alias("n"))
         alike = kept.where(F.col("n") >= ALIKE * F.col("of")).select("parent")
         leaves = leaves.unionByName(large.join(alike.withColumnRenamed("parent", "node"), "node", "left_semi"))
-        nodes = children.join(alike, "parent", "left_anti").select("rep", "h", "copies", "run", "node")
+        nodes = children.join(alike, "parent", "left_anti").select(*member, "run", "node")
 
-    blocks = F.ceil(F.col("members") / limit).cast("int")
+    blocks = F.greatest(F.ceil(F.col("members") / limit), F.ceil(F.col("held") / LEAF_BYTES)).cast("int")
     side = F.when(blocks > 1, F.pmod(F.xxhash64("rep", "h", "node"), blocks)).otherwise(0).cast("int")
     places = leaves.groupBy("rep", "h", "copies").agg(F.collect_list(F.struct("node", blocks.alias("blocks"), side.alias("side"))).alias("places"))
-    texts = base.select(F.col("id").alias("rep"), "h", "text").join(places, ["rep", "h"])
+    leaf = F.xxhash64("node", "low", "high").alias("leaf")
     spread = (
-        texts.withColumn("homes", F.array_sort(F.transform("places", lambda p: p["node"])))
-        .select("rep", "copies", "text", "homes", F.explode("places").alias("p"))
-        .select("rep", "copies", "text", "homes", "p.*")
+        places.join(classes.select("rep", "h", F.transform("sig", lambda v: v.bitwiseAND(F.lit(127).cast("bigint")).cast("tinyint")).alias("sketch")), ["rep", "h"])
+        .withColumn("homes", F.array_sort(F.transform("places", lambda p: p["node"])))
+        .select("rep", "h", "copies", "homes", "sketch", F.explode("places").alias("p"))
+        .select("rep", "h", "copies", "homes", "sketch", "p.*")
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("low", F.least("side", "other")).withColumn("high", F.greatest("side", "other"))
-        .select(F.xxhash64("node", "low", "high").alias("leaf"), "node", "low", "high", "side", "rep", "copies", "homes", "text")
+        .select(leaf, "node", "low", "high", "side", "rep", "h", "copies", "homes", "sketch")
+    )
+    cut = sketch_cut(size, threshold)
+
+    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def chosen(rows: pa.Table) -> pa.RecordBatch | None:
+            if rows.num_rows < 2:
+                return None
+            rows = rows.combine_chunks()
+            sketches = rows.column(9).chunk(0).flatten().to_numpy().reshape(rows.num_rows, size)
+            across = rows.column(2)[0].as_py() != rows.column(3)[0].as_py()
+            some = np.flatnonzero(maybe_linked(sketches, rows.column(4).to_numpy(), across, cut))
+            return rows.select(list(range(1, 9))).take(some) if len(some) else None
+
+        def out(found):
+            return pa.concat_tables(found).combine_chunks().to_batches()
+
+        key, held, found = None, [], []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            numbers = np.stack([batch.column(i).to_numpy() for i in range(4)])
+            edges = np.flatnonzero((numbers[:, 1:] != numbers[:, :-1]).any(0)) + 1
+            for a, b in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows], strict=True):
+                own = tuple(numbers[:, a].tolist())
+                if own != key:
+                    if held and (r := chosen(pa.Table.from_batches(held))) is not None:
+                        found.append(r)
+                    key, held = own, []
+                    if len(found) >= 500:
+                        yield from out(found)
+                        found = []
+                held.append(batch.slice(a, b - a))
+        if held and (r := chosen(pa.Table.from_batches(held))) is not None:
+            found.append(r)
+        if found:
+            yield from out(found)
+
+    at = "node bigint, low int, high int, side int, rep bigint, h binary, copies bigint, homes array<bigint>"
+    hits = spread.repartition("leaf").sortWithinPartitions("leaf", "node", "low", "high").mapInArrow(sketched, at)
+    # Texts travel to the leaves where the sketches leave them a partner, and only there.
+    wanted = hits.groupBy("rep", "h", "copies", "homes").agg(F.collect_list(F.struct("node", "low", "high", "side")).alias("places"))
+    wanted = written(wanted, "wanted")
+    used.append(wanted)
+    spread = (
+        base.select(F.col("id").alias("rep"), "h", "text").join(wanted, ["rep", "h"])
+        .select("rep", "copies", "homes", "text", F.explode("places").alias("p")).select("rep", "copies", "homes", "text", "p.*")
+        .select(leaf, "node", "low", "high", "side", "rep", "copies", "homes", "text")
     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,6 +325,7 @@ def jaccard_classes(
 
     grouped = spread.repartition("leaf").sortWithinPartitions("leaf", "node", "low", "high")
     linked = written(grouped.mapInArrow(compare, "rep bigint, links bigint, root bigint"), "links")
+    discard(*used)
     roots = connected_components(linked.select(F.col("rep").alias("u"), F.col("root").alias("v")))
     links = linked.groupBy("rep").agg(F.sum("links").alias("links"))
     about = (
@@ -248,14 +333,9 @@ def jaccard_classes(
         .select("h", "copies", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("root", "rep").alias("class_id"))
     )
     alone = F.col("id").isNull() | F.col("sig").isNull()
-    return (
-        signed.select("id", F.col("h"), alone.alias("alone")).join(about, "h", "left")
-        .select(
-            "id", "h", F.when(F.col("alone"), 1).otherwise(F.col("copies")).cast("bigint").alias("n_copies"),
-            F.when(F.col("alone"), 0).otherwise(F.col("n_links")).cast("bigint").alias("n_links"),
-            F.when(F.col("alone"), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
-        )
-    )
+    none = signed.where(alone).select("id", "h", F.lit(1).cast("bigint").alias("n_copies"), F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("class_id"))
+    found = signed.where(~alone).select("id", "h").join(about, "h").select("id", "h", F.col("copies").cast("bigint").alias("n_copies"), F.col("n_links").cast("bigint").alias("n_links"), "class_id")
+    return found.unionByName(none)
 
 
 def first_of_class(docs: DataFrame, **options) -> DataFrame:

@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 def shared_dir(spark: SparkSession) -> str:
     """The folder that every executor shares, as ``spark.checkpoint.dir`` names it.
 
-    Only a session without that setting (a local test) gets a folder of its own.
+    Only a local session without that setting (a test) gets a folder of its own; on a
+    cluster a machine's own folder would lose what other machines write to it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="keyflow-")
         spark.conf.set("spark.checkpoint.dir", base)
     if base.startswith("/"):  # in the default file system, which other readers do not know
@@ -36,6 +39,19 @@ def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables that nothing will read again, with their folders."""
+    for df in tables:
+        files = df.inputFiles()
+        if not files:
+            continue
+        folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        for place in (folder, folder.getParent()):
+            if "keyflow-" not in place.toString():
+                break
+            place.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     """Smallest reachable id for every id that has an edge.
 
@@ -63,7 +79,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
             .union(low.select("u", F.col("m").alias("v")))
             .distinct()
         )
-        cur = written(small, "edges")
+        before, cur = cur, written(small, "edges")
+        discard(before)
         now = cur.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
         if (now.n, now.x) == seen:
             break
