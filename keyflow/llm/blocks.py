@@ -31,17 +31,19 @@ BLOCK_SCHEMA = "block bigint, n_docs bigint, n_words bigint, payload binary"
 @dataclass
 class Block:
     """Documents of one block: ids (with a mask of the present ones), texts, and the
-    carried columns of the same rows, if any."""
+    carried columns of the same rows, if any. Parts of documents may have places."""
 
     ids: np.ndarray
     present: np.ndarray
     texts: list[bytes]
     carried: pa.RecordBatch | None = None
+    places: np.ndarray | None = None
 
 
-def pack(ids: list[int | None], texts: list[bytes], carried: list[pa.RecordBatch] = ()) -> bytes:
+def pack(ids: list[int | None], texts: list[bytes], carried: list[pa.RecordBatch] = (), places: list[int] | None = None) -> bytes:
     sizes = np.array([len(t) for t in texts], dtype="<i8").tobytes()
     head = np.array([len(texts)], dtype="<i8").tobytes()
+    numbered = np.array(places if places is not None else [0] * len(texts), dtype="<i8").tobytes()
     known = np.array([i is not None for i in ids], dtype="u1").tobytes()
     numbers = np.array([i or 0 for i in ids], dtype="<i8").tobytes()
     tail = pa.BufferOutputStream()
@@ -49,7 +51,7 @@ def pack(ids: list[int | None], texts: list[bytes], carried: list[pa.RecordBatch
         with pa.ipc.new_stream(tail, carried[0].schema) as out:
             for batch in carried:
                 out.write_batch(batch)
-    return zstandard.ZstdCompressor(level=1).compress(b"".join([head, numbers, known, sizes, *texts, tail.getvalue().to_pybytes()]))
+    return zstandard.ZstdCompressor(level=1).compress(b"".join([head, numbers, known, sizes, numbered, *texts, tail.getvalue().to_pybytes()]))
 
 
 def unpack(payload: bytes) -> Block:
@@ -58,11 +60,12 @@ def unpack(payload: bytes) -> Block:
     ids = np.frombuffer(data, "<i8", n, 8)
     present = np.frombuffer(data, "u1", n, 8 + 8 * n).astype(bool)
     sizes = np.frombuffer(data, "<i8", n, 8 + 9 * n)
-    ends = 8 + 17 * n + np.cumsum(sizes)
+    places = np.frombuffer(data, "<i8", n, 8 + 17 * n)
+    ends = 8 + 25 * n + np.cumsum(sizes)
     texts = [data[e - s : e] for s, e in zip(sizes.tolist(), ends.tolist(), strict=True)]
     end = int(ends[-1]) if n else 8
     carried = pa.ipc.open_stream(data[end:]).read_all().combine_chunks().to_batches() if len(data) > end else []
-    return Block(ids, present, texts, carried[0] if carried else None)
+    return Block(ids, present, texts, carried[0] if carried else None, places)
 
 
 def text_blocks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), block_bytes: int = BLOCK_BYTES) -> DataFrame:
