@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 LOSS_ROLE = "assistant"
 OPEN, CLOSE, PART, END = "<|turn ", "|>", "<|part|>", "<|end|>"
+#: Lengths are summed, and texts read, in pages of so many turns and characters.
+SUM_TURNS, PAGE_CHARS = 128, 4096
 
 
 def escape(text: Column) -> Column:
@@ -38,47 +40,35 @@ def format_conversations(turns: DataFrame, loss_role: str = LOSS_ROLE) -> DataFr
     A conversation is one output row and is gathered whole; nothing else is.
     """
     said = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    blocks = F.aggregate(
-        F.array_sort("said"),
-        F.expr("CAST(array() AS ARRAY<STRUCT<role: STRING, texts: ARRAY<STRING>>>)"),
-        lambda acc, x: F.when(
-            (F.size(acc) > 0) & (F.element_at(acc, -1)["role"] == x["role"]),
-            F.concat(
-                F.slice(acc, F.lit(1), F.size(acc) - 1),
-                F.array(F.struct(x["role"].alias("role"), F.concat(F.element_at(acc, -1)["texts"], F.array(escape(x["text"]))).alias("texts"))),
-            ),
-        ).otherwise(F.concat(acc, F.array(F.struct(x["role"].alias("role"), F.array(escape(x["text"])).alias("texts"))))),
-    )
+    told = turns.select("conv_id", said.alias("s")).groupBy("conv_id").agg(F.collect_list("s").alias("said"))
+    # Layers, each used by name in the next, so that nothing is computed twice or per element.
+    told = told.select("conv_id", F.transform(F.array_sort("said"), lambda x: F.struct(escape(x["role"]).alias("role"), escape(x["text"]).alias("text"), x["role"].eqNullSafe(F.lit(loss_role)).alias("loss"))).alias("said"))
+    number = F.sequence(F.lit(0), F.size("said") - 1)
+    opens = F.filter(number, lambda i: (i == 0) | (F.get("said", i)["role"] != F.get("said", i - 1)["role"]))
+    told = told.select("conv_id", "said", opens.alias("opens"))
+    # The turns of a block: from its opening turn to the next one's.
+    block = lambda a, k: F.slice("said", a + 1, F.coalesce(F.get("opens", k + 1), F.size("said")) - a)
     shown = F.array_join(
-        F.transform("blocks", lambda b: F.concat(F.lit(OPEN), escape(b["role"]), F.lit(CLOSE), F.array_join(b["texts"], PART), F.lit(END))), ""
-    )
-    # Every text with its offset inside its block and the block's length.
-    spans = F.aggregate(
-        "blocks",
-        F.expr("named_struct('at', 0L, 'spans', CAST(array() AS ARRAY<STRUCT<start: BIGINT, stop: BIGINT>>))"),
-        lambda acc, b: _with_block(acc, b, loss_role),
-    )["spans"]
-    return (
-        turns.select("conv_id", said.alias("s")).groupBy("conv_id").agg(F.collect_list("s").alias("said"))
-        .select("conv_id", blocks.alias("blocks"))
-        .select("conv_id", shown.alias("formatted"), spans.alias("loss_spans"))
-    )
-
-
-def _with_block(acc: Column, block: Column, loss_role: str) -> Column:
-    head = acc["at"] + len(OPEN) + F.length(escape(block["role"])) + len(CLOSE)
-    inner = F.aggregate(
-        block["texts"],
-        F.struct(head.cast("bigint").alias("at"), F.expr("CAST(array() AS ARRAY<STRUCT<start: BIGINT, stop: BIGINT>>)").alias("spans")),
-        lambda a, t: F.struct(
-            (a["at"] + F.length(t) + len(PART)).cast("bigint").alias("at"),
-            F.concat(a["spans"], F.array(F.struct(a["at"].alias("start"), (a["at"] + F.length(t)).cast("bigint").alias("stop")))).alias("spans"),
-        ),
+        F.transform("opens", lambda a, k: F.concat(F.lit(OPEN), F.get("said", a)["role"], F.lit(CLOSE), F.array_join(F.transform(block(a, k), lambda x: x["text"]), PART), F.lit(END))), ""
     )
-    return F.struct(
-        (inner["at"] - len(PART) + len(END)).cast("bigint").alias("at"),
-        F.when(block["role"] == loss_role, F.concat(acc["spans"], inner["spans"])).otherwise(acc["spans"]).alias("spans"),
+    opening = F.flatten(F.transform("opens", lambda a, k: F.transform(block(a, k), lambda x, i: i == 0)))
+    told = told.select("conv_id", "said", shown.alias("formatted"), opening.alias("opening"))
+    # Characters before each text since the text before it, and the text's own.
+    head = F.transform(
+        "said", lambda x, i: F.when(F.get("opening", i), F.length(x["role"]) + len(OPEN) + len(CLOSE) + F.when(i > 0, len(END)).otherwise(0)).otherwise(len(PART))
     )
+    told = told.select("conv_id", "said", "formatted", head.alias("head"))
+    told = told.select("conv_id", "said", "formatted", "head", F.zip_with("head", "said", lambda h, x: (h + F.length(x["text"])).cast("bigint")).alias("steps"))
+    added = lambda xs: F.aggregate(xs, F.lit(0).cast("bigint"), lambda acc, x: acc + x)
+    pages = F.transform(F.sequence(F.lit(0), F.floor((F.size("steps") - 1) / SUM_TURNS).cast("int")), lambda p: added(F.slice("steps", p * SUM_TURNS + 1, F.lit(SUM_TURNS))))
+    told = told.select("conv_id", "said", "formatted", "head", "steps", pages.alias("pages"))
+    told = told.withColumn("before", F.transform("pages", lambda x, p: added(F.slice("pages", F.lit(1), p))))
+    page = lambda i: F.floor(i / SUM_TURNS).cast("int")
+    start = lambda i: F.get("before", page(i)) + added(F.slice("steps", page(i) * SUM_TURNS + 1, i - page(i) * SUM_TURNS)) + F.get("head", i)
+    starts = F.transform("said", lambda x, i: F.when(x["loss"], start(i)))
+    told = told.select("conv_id", "said", "formatted", starts.alias("starts"))
+    ranges = F.zip_with("starts", "said", lambda a, x: F.struct(a.cast("bigint").alias("start"), (a + F.length(x["text"])).cast("bigint").alias("stop")))
+    return told.select("conv_id", "formatted", F.filter(ranges, lambda r: r["start"].isNotNull()).alias("loss_spans"))
 
 
 def read_turns(formatted: Column) -> Column:
@@ -95,9 +85,23 @@ def read_turns(formatted: Column) -> Column:
     )
 
 
-def read_loss(formatted: Column, spans: Column) -> Column:
-    """All text under the loss mask, unescaped, end to end."""
-    return F.array_join(F.transform(spans, lambda s: unescape(F.substr(formatted, (s["start"] + 1).cast("int"), (s["stop"] - s["start"]).cast("int")))), "")
+def with_loss_text(df: DataFrame, formatted: str = "formatted", spans: str = "loss_spans", into: str = "loss") -> DataFrame:
+    """``df`` with all text under the loss mask, unescaped, end to end, as column ``into``.
+
+    The text is cut into pages once, so that a span is looked up in its own pages.
+    """
+    df = df.withColumn("__pages", F.regexp_extract_all(F.col(formatted), F.lit(f"(?s)(.{{1,{PAGE_CHARS}}})"), F.lit(1)))
+
+    def text(s: Column) -> Column:
+        first, last = F.floor(s["start"] / PAGE_CHARS).cast("int"), F.floor((s["stop"] - 1) / PAGE_CHARS).cast("int")
+        at, end = (s["start"] % PAGE_CHARS + 1).cast("int"), ((s["stop"] - 1) % PAGE_CHARS + 1).cast("int")
+        inside = F.substr(F.get("__pages", first), at, end - at + 1)
+        across = F.concat(
+            F.substr(F.get("__pages", first), at), F.array_join(F.slice("__pages", first + 2, F.greatest(last - first - 1, F.lit(0))), ""), F.substr(F.get("__pages", last), F.lit(1), end)
+        )
+        return F.when(s["start"] >= s["stop"], "").when(first == last, inside).otherwise(across)
+
+    return df.withColumn(into, F.array_join(F.transform(F.col(spans), lambda s: unescape(text(s))), "")).drop("__pages")
 
 
 def op5(spark, sf_dir: str) -> DataFrame:
@@ -107,7 +111,7 @@ def op5(spark, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"),
     )
     out = format_conversations(turns.unionByName(extra))
-    out = out.withColumn("turns", read_turns(F.col("formatted"))).withColumn("loss", read_loss(F.col("formatted"), F.col("loss_spans")))
+    out = with_loss_text(out.withColumn("turns", read_turns(F.col("formatted"))))
     return out.select(
         "conv_id", F.size("turns").cast("bigint").alias("n_turns"),
         F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""), 256).alias("turns_sha256"),

@@ -1,6 +1,7 @@
 """Operators on single texts and corpora, against brute force or exact round trips."""
 
 import hashlib
+import random
 import math
 import re
 import zlib
@@ -103,10 +104,25 @@ def test_bpe_equals_the_library(codec, library, text):
 
 
 def test_bpe_characters(codec, library):
-    """Every character alone between a letter and a digit: the split classes are equal."""
-    chars = [f"a{chr(c)}1" for c in [*range(1, 0xD800), *range(0xE000, 0x3400), *range(0xF900, 0x20000)] if c < 0xD800 or c >= 0xE000]
-    theirs = library.encode_batch(chars, add_special_tokens=False)
-    assert not [c for c, t in zip(chars, theirs, strict=True) if codec.encode(c).tolist() != t.ids]
+    """Every character beside letters, digits, symbols, spaces, itself and a character
+    whose bytes merge with others': the split classes are the library's for all of Unicode."""
+    chars = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(f" a{x}b{x}{x}1{x}2 {x}!{x}\u6962" for x in chars[at : at + 256]) for at in range(0, len(chars), 256)]
+    theirs = library.encode_batch(texts, add_special_tokens=False)
+    assert not [t[:20] for t, mine, their in zip(texts, codec.encode_all(texts), theirs, strict=True) if mine.tolist() != their.ids]
+    assert codec.encode("\U00013fb6\u6962").tolist() == [172, 241, 122, 35050, 98, 95]
+
+
+def test_bpe_white_space_and_cuts(codec, library, monkeypatch):
+    """Random texts of pieces that join and part units, also cut into short stretches."""
+    rng = random.Random(4)
+    pieces = [" ", "  ", "\n", "\t", "\x1c", "\x85", "\xa0", "\u3000", "a", "\u00e9", "1", "!", "'s", "'", "<|endoftext|>", "the", "ing", "x" * 60]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randrange(0, 25))) for _ in range(4000)]
+    want = [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in codec.encode_all(texts)] == want
+    assert codec.decode_all(codec.encode_all(texts)) == texts
+    monkeypatch.setattr(bpe, "CHUNK_CHARS", 16)
+    assert [x.tolist() for x in codec.encode_all(texts[:1000])] == want[:1000]
 
 
 def test_bpe_query(docs, library, no_docs):
@@ -159,7 +175,7 @@ def test_chat(spark):
     ]
     table = spark.createDataFrame([(*r, "x") for r in rows], "conv_id bigint, turn bigint, role string, text string, blocks string")
     out = chat.format_conversations(table)
-    back = out.select("conv_id", "formatted", chat.read_turns(F.col("formatted")).alias("turns"), chat.read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss"), "loss_spans").collect()
+    back = chat.with_loss_text(out).select("conv_id", "formatted", chat.read_turns(F.col("formatted")).alias("turns"), "loss", "loss_spans").collect()
     assert len(back) == 5
     for r in back:
         own = sorted(((t if t is not None else -1, role or "", text or "") for c, t, role, text in rows if c == r.conv_id))
