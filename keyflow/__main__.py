@@ -13,16 +13,16 @@ from keyflow.streaming import runner, sinks
 VERSION = "0.1.0"
 
 
-def sink_of(c: configuration.Config) -> runner.Sink:
+def sink_of(c: configuration.Config, run: str = "") -> runner.Sink:
     if k := c.sink.kafka:
         return lambda batch, _: sinks.write_topic(batch, ",".join(k.brokers), k.topic, k.compression, k.include_heartbeats)
     if f := c.sink.file:
         return lambda batch, _: sinks.write_lines(batch, f.path, f.include_heartbeats)
     p = c.pipeline
     if p.driver == "doris":
-        return lambda batch, n: sinks.send_loads(sinks.load_requests(sinks.batch_rows(batch, p.rules), n, p.sequence_column, chunk=p.max_batch_rows), p.fenodes, p.user, p.password)
+        return lambda batch, n: sinks.send_loads(sinks.load_requests(sinks.batch_rows(batch, p.rules), n, p.sequence_column, chunk=p.max_batch_rows, run=run, source_id=c.source.source_id), p.fenodes, p.user, p.password)
     module = {"sqlite": "sqlite3", "postgres": "psycopg2", "pgx": "psycopg2", "mysql": "pymysql"}[p.driver]
-    return lambda batch, _: sinks.write_sql(sinks.batch_rows(batch, p.rules), sinks.connector(module, p.dsn), p.driver, p.max_batch_rows)
+    return lambda batch, _: sinks.write_sql(sinks.batch_rows(batch, p.rules), sinks.Connector(module, p.dsn), p.driver, p.max_batch_rows)
 
 
 def main(args: list[str] | None = None) -> int:
@@ -44,7 +44,7 @@ def main(args: list[str] | None = None) -> int:
         return 1
     spark = SparkSession.builder.appName("keyflow").getOrCreate()
     control = runner.Control(c.checkpoint, c.source.source_id).load()
-    sink = sink_of(c)
+    sink = sink_of(c, control.run_id)
     if c.snapshot and not control.snapshot_done:
         state = spark.read.parquet(c.snapshot)
         with_info = spark.read.text(f"{c.snapshot.rstrip('/')}.info", wholetext=True).first()[0]

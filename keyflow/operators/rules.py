@@ -65,10 +65,21 @@ class KeyPattern:
         self.regex = rf"\A{regex}\z"
 
     def matches(self, key: Column) -> Column:
-        return key.rlike(self.regex)
+        if not self.names:
+            return key == self.literals[0]
+        if len(self.names) > 1:
+            return key.rlike(self.regex)
+        head, tail = self.literals
+        if not tail:
+            return key.startswith(head)
+        # The capture ends at the first place of the tail, which must be the key's end.
+        return key.startswith(head) & (F.locate(tail, key, len(head) + 1) == F.length(key) - len(tail) + 1) & (F.length(key) >= len(head) + len(tail))
 
     def captures(self, key: Column) -> dict[str, Column]:
-        return {name: F.regexp_extract(key, self.regex, i + 1) for i, name in enumerate(self.names)}
+        if len(self.names) != 1:
+            return {name: F.regexp_extract(key, self.regex, i + 1) for i, name in enumerate(self.names)}
+        head, tail = self.literals
+        return {self.names[0]: F.substring(key, F.lit(len(head) + 1), F.length(key) - len(head) - len(tail))}
 
 
 def _pairs(args: Column) -> Column:
@@ -79,12 +90,14 @@ def _pairs(args: Column) -> Column:
 
 
 def _as_map(pairs: Column) -> Column:
-    """The last of equal fields wins."""
-    last = F.filter(pairs, lambda p: ~F.exists(pairs, lambda q: (q["k"] == p["k"]) & (q["i"] > p["i"])))
-    return F.map_from_entries(F.transform(last, lambda p: F.struct(p["k"], p["v"])))
+    """The last of equal fields wins: pairs sorted by field and place, of which the last
+    of each field stays. (The outer arrays bind the sorted pairs, so that they are not
+    computed again for each element.)"""
+    ordered = F.array_sort(F.transform(pairs, lambda p: F.struct(p["k"].alias("k"), p["i"].alias("i"), p["v"].alias("v"))))
+    last = lambda own: F.filter(own, lambda p, at: (at == F.size(own) - 1) | (F.element_at(own, F.least(at + 2, F.size(own)))["k"] != p["k"]))
+    return F.map_from_entries(F.transform(F.transform(F.array(ordered), last)[0], lambda p: F.struct(p["k"], p["v"])))
 
 
-PAIRS = "__pairs"
 EMPTY = "CAST(map() AS MAP<STRING, STRING>)"
 
 
@@ -92,75 +105,100 @@ def _renamed(values: Column, fields: dict[str, str]) -> Column:
     if not fields:
         return values
     names = F.create_map(*[F.lit(x) for pair in fields.items() for x in pair])
-    return F.transform_keys(F.map_filter(values, lambda k, v: F.map_contains_key(names, k)), lambda k, v: names[k])
+    renamed = F.transform_keys(F.map_filter(values, lambda k, v: F.map_contains_key(names, k)), lambda k, v: names[k])
+    if all(f == c for f, c in fields.items()):
+        return F.map_filter(values, lambda k, v: k.isin(*fields))
+    return renamed
 
 
-def compile_rule(number: int, rule: Rule, compat: bool = False) -> Column:
-    """Struct ``ROW_TYPE`` if the rule decides about the event, else null.
+def _handles(rule: Rule) -> Column:
+    """Whether the rule decides about the event."""
+    deleting, kind = F.col("op") == "d", F.col("data_type")
+    known = kind.isin(*[t for t in rule.types if t in ("hash", "string")])
+    return (rule.pattern.matches(F.col("key")) if rule.pattern else F.lit(True)) & (deleting | known)
 
-    ``action`` is upsert, delete, skip or error. With ``compat``, removed hash fields
-    become empty strings instead of nulls and string values are always the third
-    argument.
-    """
-    args, key, op, kind = F.col("args"), F.col("key"), F.col("op"), F.col("data_type")
-    command = F.upper("command")
-    deleting = op == "d"
-    captures = rule.pattern.captures(key) if rule.pattern else {}
-    matches = (rule.pattern.matches(key) if rule.pattern else F.lit(True)) & (deleting | kind.isin(*rule.types))
-    empty = F.expr(EMPTY)
-
-    pairs = F.col(PAIRS)
-    removed = F.map_from_entries(F.transform(F.array_distinct(F.slice(args, 3, F.greatest(F.size(args) - 2, F.lit(0)))), lambda f: F.struct(f, F.lit("" if compat else None).cast("string"))))
-    is_hdel = (F.col("command") if compat else command) == "HDEL"
-    hash_all = F.when(is_hdel, removed).when(command.isin("HSET", "HMSET"), pairs).otherwise(pairs if compat else empty)
-    hash_cols = _renamed(hash_all, rule.fields)
 
-    at = F.create_map(*[F.lit(x) for pair in VALUE_ARGUMENT.items() for x in pair])[command]
-    value = F.try_element_at(args, F.lit(3)) if compat else F.try_element_at(args, at)
-    if rule.value_json:
-        parsed = F.from_json(value, "map<string,string>")
-        filled = F.transform_values(parsed, lambda k, v: F.coalesce(v, F.lit("")))
-        string_cols = F.map_filter(filled, lambda k, v: k.isin(*rule.json_columns)) if rule.json_columns else filled
-        string_error = F.when(value.isNotNull() & parsed.isNull(), "the value is no JSON object")
-    else:
-        string_cols, string_error = F.create_map(F.lit(rule.value_column), value), F.lit(None).cast("string")
-    string_cols = F.when(value.isNotNull(), string_cols).otherwise(empty)
-
-    lookup = F.when(kind == "hash", pairs).when(kind == "string", filled if rule.value_json else empty)
-    parts = {n: captures.get(n, F.try_element_at(lookup, F.lit(n))) for n in rule.pk}
-    pk = F.create_map(*[x for n, c in parts.items() for x in (F.lit(n), c)])
-    missing = F.concat_ws(",", *[F.when(c.isNull(), F.lit(n)) for n, c in parts.items()])
-    cols = F.when(kind == "hash", hash_cols).when(kind == "string", string_cols).otherwise(empty)
-    cols = F.map_filter(cols, lambda k, v: ~k.isin(*rule.pk))
-
-    def row(action: Column, error: Column, values: Column) -> Column:
-        return F.struct(F.lit(number).alias("rule"), action.alias("action"), F.lit(rule.table).alias("table"), pk.alias("pk"), values.alias("cols"), error.alias("error")).cast(ROW_TYPE)
-
-    no_error = F.lit(None).cast("string")
-    skip, failed = row(F.lit("skip"), no_error, empty), lambda e: row(F.lit("error"), e, empty)
-    handled = deleting | kind.isin(*[t for t in rule.types if t in ("hash", "string")])
-    return F.when(
-        matches & handled,
-        F.when(deleting, skip if rule.delete == "ignore" else F.when(missing != "", failed(F.concat(F.lit("no value for key column "), missing))).otherwise(row(F.lit("delete"), no_error, empty)))
-        .when((kind == "string") & string_error.isNotNull(), failed(string_error))
-        .when(F.size(cols) == 0, skip)
-        .when(missing != "", failed(F.concat(F.lit("no value for key column "), missing)))
-        .otherwise(row(F.lit("upsert"), no_error, cols)),
-    )
+def _by_rule(rules: list[Rule], make) -> Column:
+    """``make(rule)`` of the rule that decides."""
+    out = None
+    for i, rule in enumerate(rules):
+        out = F.when(F.col("__rule") == i, make(rule)) if out is None else out.when(F.col("__rule") == i, make(rule))
+    return out
 
 
-def map_events(events: DataFrame, rules: list[Rule], compat: bool = False) -> DataFrame:
-    """Events with a ``row`` struct each: the first deciding rule's; null if none decides.
+def _settled(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with more columns, computed once: a generator stands between them and what
+    uses them, so that no later expression is merged with theirs."""
+    both = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return df.select("*", F.explode(F.array(both)).alias("__settled")).select(*df.columns, "__settled.*")
+
 
-    Heartbeats are left out. ``args`` must be text (utf8).
+def map_events(events: DataFrame, rules: list[Rule], compat: bool = False) -> DataFrame:
+    """Events with a ``row`` struct each (``ROW_TYPE``): the first deciding rule's; null if
+    none decides. Its action is upsert, delete, skip or error.
+
+    Heartbeats are left out. ``args`` must be text (utf8). With ``compat``, removed hash
+    fields become empty strings instead of nulls and string values are always the third
+    argument. Works in layers, each of which later ones use by name: the deciding rule,
+    the event's values, the row's key and columns, the row. So every part is computed
+    once, and only for the rule that decides.
     """
     if not rules:
         raise RuleError("no rules")
-    chosen = F.coalesce(*[compile_rule(i, r, compat) for i, r in enumerate(rules)])
-    # Through generators, so that no later use of either result repeats its expression.
-    pairs = F.when(F.col("data_type") == "hash", _as_map(_pairs(F.col("args"))))
-    paired = events.where(F.col("phase") != "heartbeat").select("*", F.explode(F.array(pairs)).alias(PAIRS))
-    return paired.select("*", F.explode(F.array(chosen)).alias("row")).drop(PAIRS)
+    args, key, kind, deleting = F.col("args"), F.col("key"), F.col("data_type"), F.col("op") == "d"
+    empty, command = F.expr(EMPTY), F.upper("command")
+    rule = None
+    for i, r in enumerate(rules):
+        rule = F.when(_handles(r), i) if rule is None else rule.when(_handles(r), i)
+    out = _settled(events.where(F.col("phase") != "heartbeat"), __rule=rule)
+
+    fill = F.lit("" if compat else None).cast("string")
+    removed = F.map_from_entries(F.transform(F.array_distinct(F.slice(args, 3, F.greatest(F.size(args) - 2, F.lit(0)))), lambda f: F.struct(f, fill)))
+    one = F.create_map(F.try_element_at(args, F.lit(3)), F.try_element_at(args, F.lit(4)))
+    pairs = F.when(F.size(args) == 4, one).otherwise(_as_map(_pairs(args)))
+    is_hdel = (F.col("command") if compat else command) == "HDEL"
+    hash_values = F.when(is_hdel, removed).when(F.lit(compat) | command.isin("HSET", "HMSET"), pairs).otherwise(empty)
+    at = F.create_map(*[F.lit(x) for pair in VALUE_ARGUMENT.items() for x in pair])[command]
+    value = F.try_element_at(args, F.lit(3)) if compat else F.try_element_at(args, at)
+    as_json = [i for i, r in enumerate(rules) if r.value_json]
+    parsed = F.transform_values(F.from_json(value, "map<string,string>"), lambda k, v: F.coalesce(v, F.lit("")))
+    string_values = F.when(F.col("__rule").isin(*as_json), parsed) if as_json else F.lit(None).cast("map<string,string>")
+    live = F.col("__rule").isNotNull() & ~deleting
+    values = F.when(live & (kind == "hash"), hash_values).when(live & (kind == "string"), string_values)
+    out = _settled(out, __values=values, __value=F.when(live & (kind == "string"), value))
+
+    def pk_of(r: Rule) -> Column:
+        captures = r.pattern.captures(key) if r.pattern else {}
+        lookup = F.when(kind == "hash", F.when(is_hdel, F.lit(None)).otherwise(F.col("__values"))).otherwise(F.col("__values"))
+        return F.create_map(*[x for n in r.pk for x in (F.lit(n), captures.get(n, F.try_element_at(lookup, F.lit(n))))])
+
+    def cols_of(r: Rule) -> Column:
+        if r.value_json:
+            text = F.map_filter("__values", lambda k, v: k.isin(*r.json_columns)) if r.json_columns else F.col("__values")
+        else:
+            text = F.create_map(F.lit(r.value_column), F.col("__value"))
+        text = F.when(F.col("__value").isNotNull(), text).otherwise(empty)
+        own = F.when(deleting, empty).when(kind == "hash", _renamed(F.col("__values"), r.fields)).when(kind == "string", text).otherwise(empty)
+        captured = set(r.pattern.names if r.pattern else ())
+        may_meet = not r.fields or r.value_json or any(c in r.pk for c in r.fields.values()) or r.value_column in r.pk or not set(r.pk) <= captured
+        return F.map_filter(own, lambda k, v: ~k.isin(*r.pk)) if may_meet else own
+
+    out = _settled(out, __pk=_by_rule(rules, pk_of), __cols=_by_rule(rules, cols_of))
+    missing = F.array_join(F.array_sort(F.transform(F.filter(F.map_entries("__pk"), lambda e: e["value"].isNull()), lambda e: e["key"])), ",")
+    no_key = F.exists(F.map_values("__pk"), lambda v: v.isNull())
+    ignored = [i for i, r in enumerate(rules) if r.delete == "ignore"]
+    no_json = F.col("__rule").isin(*as_json) & (kind == "string") & F.col("__value").isNotNull() & F.col("__values").isNull() if as_json else F.lit(False)
+    skips = deleting & F.col("__rule").isin(*ignored) if ignored else F.lit(False)
+    action = (
+        F.when(F.col("__rule").isNull(), F.lit(None)).when(skips, "skip").when(~deleting & no_json, "error")
+        .when(~deleting & (F.coalesce(F.size("__cols"), F.lit(0)) <= 0), "skip").when(no_key, "error").when(deleting, "delete").otherwise("upsert")
+    )
+    out = _settled(out, __action=action)
+    error = F.when(F.col("__action") == "error", F.when(no_json & ~deleting, "the value is no JSON object").otherwise(F.concat(F.lit("no value for key column "), missing)))
+    table = _by_rule(rules, lambda r: F.lit(r.table))
+    written = F.when(F.col("__action") == "upsert", F.col("__cols")).otherwise(empty)
+    row = F.struct(F.col("__rule").alias("rule"), F.col("__action").alias("action"), table.alias("table"), F.col("__pk").alias("pk"), written.alias("cols"), error.alias("error")).cast(ROW_TYPE)
+    return _settled(out, row=F.when(F.col("__rule").isNotNull(), row)).drop("__rule", "__values", "__value", "__pk", "__cols", "__action")
 
 
 def rows_of(mapped: DataFrame) -> DataFrame:
@@ -175,8 +213,14 @@ def errors_of(mapped: DataFrame) -> DataFrame:
     return mapped.where(F.col("row.action") == "error")
 
 
+def key_of(pk: Column) -> Column:
+    """A row's key to group by: its columns and values in order, each apart, nulls apart
+    from any text."""
+    return F.array_sort(F.map_entries(pk))
+
+
 def rendered(values: Column) -> Column:
-    """A map as sorted ``k=v`` text; null values as ``k=\\N``."""
+    """A map as sorted ``k=v`` text for reading (not a key); null values as ``k=\\N``."""
     return F.array_join(F.array_sort(F.transform(F.map_entries(values), lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit("\\N"))))), ",")
 
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keyflow.functions.envelope import to_events
+from keyflow.sources.shared import shared_dir, written
 
 #: Fixed order of the stages, and the prefix of keys that never leave the source.
 STAGES = ("string", "list", "hash", "set", "zset")
@@ -71,19 +74,21 @@ def scan(
 def snapshot_events(commands: DataFrame, anchor: tuple[int, int], source_id: str, db: str = "db0") -> DataFrame:
     """Events of a scan at its anchor, numbered from 1 in scan order.
 
-    The number is a running count: counts per stage and key range first, then a
-    ``row_number`` inside each range, so no single task sorts the whole scan.
+    The scan is dealt into ranges of (stage, key, part) by Spark's sampled bounds,
+    sorted within them and written to the shared folder, one file a range. A row's
+    number is its place in its file after the rows of the files before: one exchange,
+    ranges of even size whatever keys look like, and one short row a file to sum up.
     """
-    ranged = commands.withColumn("__range", F.concat_ws(":", "stage", F.substring("key", 1, 6)))
-    sizes = ranged.groupBy("stage", "__range").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("stage").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    stages = commands.groupBy("stage").agg(F.count("*").alias("n"))
-    earlier = stages.withColumn("base", F.coalesce(F.sum("n").over(Window.orderBy("stage").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # five rows at most
-    starts = sizes.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0))).join(F.broadcast(earlier.select("stage", "base")), "stage")
-    within = F.row_number().over(Window.partitionBy("__range").orderBy("key", "part"))
-    numbered = ranged.withColumn("n", within).join(starts.select("__range", "start", "base"), "__range")
-    log = numbered.select(
+    place = ["stage", "key", "part"]
+    spark = commands.sparkSession
+    ranged = written(commands.repartitionByRange(*place).sortWithinPartitions(*place), f"{shared_dir(spark)}/keyflow-{uuid.uuid4().hex}/snapshot")
+    # Files are named after their ranges' numbers, which are in order.
+    at = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("int")
+    ranged = ranged.select("*", at.alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    sizes = ranged.groupBy("__file").agg(F.count("*").alias("n"))
+    before = sizes.select("__file", F.coalesce(F.sum("n").over(Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    log = ranged.join(before, "__file").select(
         F.col("argv").cast("array<binary>").alias("argv"), F.lit(anchor[0]).cast("bigint").alias("filenum"), F.lit(anchor[1]).cast("bigint").alias("offset"),
-        (F.col("base") + F.col("start") + F.col("n")).alias("seq"), F.lit(0).cast("bigint").alias("exec_time_s"),
+        (F.col("before") + F.col("__row") + 1).alias("seq"), F.lit(0).cast("bigint").alias("exec_time_s"),
     )
     return to_events(log, source_id, db, "snapshot")

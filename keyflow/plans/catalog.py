@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import struct
+import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -14,11 +15,12 @@ from keyflow.functions.position import position, sequence_number
 from keyflow.operators import verify
 from keyflow.operators.coalesce import apply_to_table, coalesce_rows
 from keyflow.operators.gate import after_anchor, first_seen, ordered_union
-from keyflow.operators.rules import Rule, column_shape, map_events, rendered
+from keyflow.operators.rules import Rule, column_shape, key_of, map_events, rendered, rows_of
 from keyflow.operators.snapshot import scan, snapshot_events
 from keyflow.operators.state import canonical, fold_hashes, fold_states
-from keyflow.plans.commandlog import ANCHOR, BATCH, CELLS_SQL, DB, LOG_SQL, SOURCE_ID, command_log, log_events, snapshot_state, streamed_events
+from keyflow.plans.commandlog import ANCHOR, BATCH, CELLS_SQL, DB, LOG_SQL, SOURCE_ID, command_log, log_events, log_of, snapshot_state, streamed_events
 from keyflow.sources import workload
+from keyflow.sources.shared import shared_dir
 from keyflow.streaming.runner import collected
 from keyflow.streaming.sinks import batch_rows, load_requests
 from keyflow.streaming.stateful import without_redeliveries
@@ -46,9 +48,14 @@ def _with(sql: str, *more: str) -> str:
 
 
 def _rows(spark, sf_dir) -> DataFrame:
-    """Mutations of the log with their event number and rendered key."""
+    """Mutations of the log with their event number; ``pk`` is an array of columns and values."""
     mapped = map_events(log_events(spark, sf_dir), RULES)
-    return mapped.where(F.col("row.action").isin("upsert", "delete")).select("id", "row.table", rendered(F.col("row.pk")).alias("pk"), "row.cols", (F.col("row.action") == "delete").alias("del"))
+    return mapped.where(F.col("row.action").isin("upsert", "delete")).select("id", "row.table", key_of(F.col("row.pk")).alias("pk"), "row.cols", (F.col("row.action") == "delete").alias("del"))
+
+
+def _shown(rows: DataFrame) -> DataFrame:
+    """``pk`` and ``cols`` as text."""
+    return rows.withColumn("pk", rendered(F.map_from_entries("pk"))).withColumn("cols", rendered(F.col("cols")))
 
 
 @query(_with(f"""
@@ -101,13 +108,17 @@ def q04_ordered_union(spark, sf_dir):
     """Snapshot, then the log after its anchor, numbered in delivery order."""
     snap = snapshot_events(scan(snapshot_state(spark, sf_dir)), ANCHOR, SOURCE_ID)
     log = log_events(spark, sf_dir).where(after_anchor(F.col("pb_end"), *ANCHOR))
-    both = ordered_union(snap, log).withColumn("span", F.when(F.col("phase_rank") == 0, F.expr("source.seq div 10000")).otherwise(F.col("source.filenum")))
-    # Ranks per span, shifted by the spans before it: the spans are few, the rows many.
-    place = ["phase_rank", "span"]
-    sizes = both.groupBy(*place).agg(F.count("*").alias("n"))
-    before = sizes.select(*place, F.coalesce(F.sum("n").over(Window.orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    rank = F.row_number().over(Window.partitionBy(*place).orderBy("source.filenum", "source.offset", "source.seq"))
-    return both.withColumn("r", rank).join(before, place).select("phase", (F.col("r") + F.col("before")).alias("rn"), "key", "command", "source.seq")
+    both = ordered_union(snap, log)
+    # The snapshot is numbered already. Ranks of the log by file, shifted by what comes
+    # before: files are few, rows many.
+    later = both.where("phase_rank = 1").select("phase", "key", "command", "source.*")
+    sizes = later.groupBy("filenum").agg(F.count("*").alias("n"))
+    before = sizes.select("filenum", F.coalesce(F.sum("n").over(Window.orderBy("filenum").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    rank = F.row_number().over(Window.partitionBy("filenum").orderBy("offset", "seq"))
+    dumped = snap.agg(F.count("*").alias("dumped"))
+    ranked = later.withColumn("r", rank).join(before, "filenum").join(F.broadcast(dumped))  # one row
+    first = both.where("phase_rank = 0").select("phase", F.col("source.seq").alias("rn"), "key", "command", "source.seq")
+    return first.unionByName(ranked.select("phase", (F.col("dumped") + F.col("before") + F.col("r")).alias("rn"), "key", "command", "seq"))
 
 
 @query(_with("""
@@ -182,12 +193,12 @@ SELECT l.id, 'ods_user' AS "table", 'uid=' || l.user_id AS pk, string_agg(f || '
 FROM log l JOIN cells c USING (id) GROUP BY l.id, l.user_id
 UNION ALL SELECT id, 'ods_user', 'uid=' || user_id, '', true FROM log WHERE event_type = 'error'""", CELLS_SQL))
 def q12_hash_mapping(spark, sf_dir):
-    return _rows(spark, sf_dir).where("table = 'ods_user'").withColumn("cols", rendered(F.col("cols")))
+    return _shown(_rows(spark, sf_dir).where("table = 'ods_user'"))
 
 
 @query(_with("""SELECT id, 'id=' || user_id AS pk, 'balance=' || CAST(amount AS DOUBLE) || ',k=' || k AS cols FROM log WHERE event_type = 'purchase'"""))
 def q13_json_mapping(spark, sf_dir):
-    return _rows(spark, sf_dir).where("table = 'ods_account'").select("id", "pk", rendered(F.col("cols")).alias("cols"))
+    return _shown(_rows(spark, sf_dir).where("table = 'ods_account'")).select("id", "pk", "cols")
 
 
 @query(_with("""
@@ -223,7 +234,7 @@ SELECT h.batch, h.tab AS "table", h.pk, h.first_id AS "first", coalesce(h.wiped
 FROM heads h LEFT JOIN texts t USING (batch, tab, pk)""", CELLS_SQL, _KEYED % BATCH))
 def q15_coalesce_batches(spark, sf_dir):
     rows = _rows(spark, sf_dir).withColumn("batch", F.expr(f"id div {BATCH}"))
-    return coalesce_rows(rows, ("batch", "table", "pk"), "id").withColumn("cols", rendered(F.col("cols")))
+    return _shown(coalesce_rows(rows, ("batch", "table", "pk"), "id")).drop("last")
 
 
 @query(_with("""
@@ -242,7 +253,7 @@ WHERE h.wiped IS NULL OR h.wiped < h.last_id""", CELLS_SQL, _KEYED % 10**15))
 def q17_final_table(spark, sf_dir):
     """Target rows after the whole log."""
     final = coalesce_rows(_rows(spark, sf_dir), ("table", "pk"), "id")
-    return final.where("NOT del").select("table", "pk", rendered(F.col("cols")).alias("cols"))
+    return _shown(final.where("NOT del")).select("table", "pk", "cols")
 
 
 @query(_with("""
@@ -492,7 +503,7 @@ def q40_export_columns(spark, sf_dir):
 , shapes AS (SELECT h.tab, h.pk, CASE WHEN h.wiped = h.last_id THEN '__DORIS_DELETE_SIGN__,uid' ELSE
     array_to_string(list_sort(list_append(list(l.f), CASE WHEN h.tab = 'ods_user' THEN 'uid' ELSE 'id' END)), ',') END AS shape
   FROM heads h LEFT JOIN live l USING (batch, tab, pk) GROUP BY h.tab, h.pk, h.wiped, h.last_id)
-SELECT '/api/information_schema/' || tab || '/_stream_load' AS path, shape AS columns, 'keyflow-7-' || substr(md5(tab || '|' || shape || '|0'), 1, 12) AS label, count(*) AS n
+SELECT '/api/information_schema/' || tab || '/_stream_load' AS path, shape AS columns, 'keyflow-7-' || substr(md5('["","information_schema","' || tab || '","' || shape || '","0","0"]'), 1, 16) AS label, count(*) AS n
 FROM shapes GROUP BY tab, shape""", CELLS_SQL, _KEYED % 10**15))
 def q41_load_requests(spark, sf_dir):
     """Bulk-load requests of the whole log, one a table and shape."""
@@ -515,7 +526,7 @@ def q43_table_by_batches(spark, sf_dir):
     middle = F.col("id") < 4321
     once = apply_to_table(none, coalesce_rows(rows.where(middle), ("table", "pk"), "id"), ("table", "pk"))
     twice = apply_to_table(once, coalesce_rows(rows.where(~middle), ("table", "pk"), "id"), ("table", "pk"))
-    return twice.select("table", "pk", rendered(F.col("cols")).alias("cols"))
+    return _shown(twice).select("table", "pk", "cols")
 
 
 @query("""
@@ -538,9 +549,9 @@ def q46_churn_states(spark, sf_dir):
     return folded.select("key", "typ", canonical(folded).alias("state"), "events")
 
 
-@query()
+@query(_with("""SELECT key, count(*) AS n FROM log WHERE CAST('0x' || substr(md5(key), 1, 8) AS BIGINT) % 8 = 0 GROUP BY key"""))
 def q47_sampled_keys(spark, sf_dir):
-    """One key in eight, by hash (Spark's own, so no SQL form)."""
+    """One key in eight, by hash."""
     return verify.sampled(log_events(spark, sf_dir), 8).groupBy("key").agg(F.count("*").alias("n"))
 
 
@@ -557,3 +568,44 @@ def q49_streamed_gate(spark, sf_dir):
     """The stream after its anchor, each entry once although it comes twice."""
     e = streamed_events(spark, sf_dir).where(after_anchor(F.col("pb_end"), *ANCHOR))
     return collected(without_redeliveries(e.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))).select("id", "key", "command"))
+
+
+@query("""
+SELECT CASE WHEN user_id % 2 = 0 THEN '1,b=2' ELSE '1' END AS a, CASE user_id % 3 WHEN 0 THEN '3' WHEN 1 THEN '2,b=3' ELSE 'x=y:z' END AS b,
+       CAST(max(event_id) AS VARCHAR) AS v, min(event_id) * 64 AS "first" FROM events GROUP BY ALL""")
+def q50_composite_keys(spark, sf_dir):
+    """Rows of two key columns whose values hold the signs that print them."""
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    a = F.when(F.col("user_id") % 2 == 0, "1,b=2").otherwise("1")
+    b = F.when(F.col("user_id") % 3 == 0, "3").when(F.col("user_id") % 3 == 1, "2,b=3").otherwise("x=y:z")
+    argv = F.array(F.lit("HSET"), F.concat(F.lit("k:"), a, F.lit(":"), b), F.lit("v"), F.col("event_id").cast("string"))
+    log = ev.select(argv.cast("array<binary>").alias("argv"), F.lit(1).alias("filenum"), (F.col("event_id") * 64).alias("offset"), F.lit(0).alias("seq"), F.lit(0).alias("exec_time_s"))
+    rows = batch_rows(to_events(log, SOURCE_ID, DB), [Rule("t", ["a", "b"], ["hash"], "k:{a}:{b}")])
+    return rows.select(F.col("pk")["a"].alias("a"), F.col("pk")["b"].alias("b"), F.col("cols")["v"].alias("v"), F.col("first.offset").alias("first"))
+
+
+@query(_with("""SELECT key, count(*) AS n, CAST(sum(id) AS BIGINT) AS ids FROM log GROUP BY key"""))
+def q51_streamed_late_files(spark, sf_dir):
+    """The log as a stream of several batches: the newest entries come first, the oldest
+    last, some entries twice. Each counts once, none is too late."""
+    place = f"{shared_dir(spark)}/keyflow-{uuid.uuid4().hex}/late"
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    for i, part in enumerate(("event_id % 3 = 2", "event_id % 3 >= 1", "event_id % 3 = 0 AND event_id >= 500", "event_id < 600")):
+        ev.where(part).coalesce(1).write.parquet(f"{place}/{i}")
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(place)
+    once = collected(without_redeliveries(to_events(log_of(stream), SOURCE_ID, DB)).select("key", "id"))
+    return once.groupBy("key").agg(F.count("*").alias("n"), F.sum("id").alias("ids"))
+
+
+@query(_with("""
+, shapes AS (SELECT DISTINCT CASE WHEN event_type = 'purchase' THEN 'ods_account' ELSE 'ods_user' END AS tab, event_type FROM log)
+SELECT '/api/information_schema/' || tab || '/_stream_load' AS path, 4 * count(*) AS requests, 4 * count(*) AS labels FROM shapes GROUP BY tab"""))
+def q52_load_labels(spark, sf_dir):
+    """The same batch number of two sources and two checkpoints: no label repeats."""
+    mapped = map_events(log_events(spark, sf_dir), RULES)
+    rows = rows_of(mapped).select("table", key_of(F.col("pk")).alias("pk_key"), "pk", "cols", "del", F.struct("filenum", "offset", "seq").alias("last"))
+    every = None
+    for source, run in (("a:1", "r1"), ("a:1", "r2"), ("b:1", "r1"), ("b:1", "r2")):
+        some = load_requests(rows, -1, chunk=10**9, run=run, source_id=source).select("path", "label")
+        every = some if every is None else every.unionByName(some)
+    return every.groupBy("path").agg(F.count("*").alias("requests"), F.countDistinct("label").alias("labels"))

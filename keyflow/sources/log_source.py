@@ -19,7 +19,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStrea
 
 FRAME = "<IIQI"
 RAW_SCHEMA = "pb_filenum bigint, pb_offset bigint, session_id int, binlog binary"
-BATCH_ROWS = 4096
+BATCH_ROWS, BLOCK_BYTES = 4096, 4 << 20
 
 
 def frame(pb_filenum: int, pb_offset: int, session_id: int, entry: bytes) -> bytes:
@@ -44,15 +44,32 @@ def _frames(uri: str, part: FileRange) -> Iterator[tuple[int, int, int, bytes]]:
     fs, _ = pafs.FileSystem.from_uri(uri)
     head = struct.calcsize(FRAME)
     with fs.open_input_file(part.path) as f:
-        at, size = part.start, f.size()
+        at, size, block, base = part.start, f.size(), b"", 0
         while at < part.stop and at + head <= size:
-            length, filenum, offset, session = struct.unpack(FRAME, f.read_at(head, at))
+            if not base <= at <= base + len(block) - head:
+                block, base = f.read_at(min(BLOCK_BYTES, size - at), at), at
+            length, filenum, offset, session = struct.unpack_from(FRAME, block, at - base)
             if at + head + length > size:
                 return
-            yield filenum, offset, session, f.read_at(length, at + head)
+            if at + head + length > base + len(block):
+                block, base = f.read_at(min(max(BLOCK_BYTES, head + length), size - at), at), at
+            yield filenum, offset, session, block[at - base + head : at - base + head + length]
             at += head + length
 
 
+def _whole_frames(f, at: int, size: int, limit: int) -> int:
+    """End of the last whole frame, or of the first that reaches ``limit`` bytes."""
+    head, start, block, base = struct.calcsize(FRAME), at, b"", 0
+    while at + head <= size and at - start < limit:
+        if not base <= at <= base + len(block) - head:
+            block, base = f.read_at(min(BLOCK_BYTES, size - at), at), at
+        length = struct.unpack_from("<I", block, at - base)[0]
+        if at + head + length > size:
+            break
+        at += head + length
+    return at
+
+
 def _batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
     held = []
     for row in rows:
@@ -96,24 +113,27 @@ class LogStreamReader(DataSourceStreamReader):
         return json.loads(self.starting)
 
     def _end(self, start: dict, limit: int) -> dict:
-        """Place up to which whole frames can be read now, at most ``limit`` bytes on."""
+        """Place up to which whole frames can be read now, about ``limit`` bytes on.
+
+        A file that has a successor is closed: its size is its end, and the tasks find
+        its last whole frame. So the driver looks into the newest file only, in blocks,
+        from where it left off, or into a closed one that alone exceeds the limit.
+        """
         fs, files = _files(self.uri)
         file, byte, left = start["file"], start["byte"], limit or 1 << 62
-        head = struct.calcsize(FRAME)
         for number, path, size in files:
-            if number < file:
+            if number < file or left <= 0:
                 continue
             at = byte if number == file else 0
-            with fs.open_input_file(path) as f:
-                while at + head <= size and left > 0:
-                    length = struct.unpack("<I", f.read_at(4, at))[0]
-                    if at + head + length > size:
-                        break
-                    at += head + length
-                    left -= head + length
-            file, byte = number, at
-            if left <= 0:
-                break
+            if number != files[-1][0] and size - at <= left:
+                end = max(at, size)
+            else:
+                with fs.open_input_file(path) as f:
+                    end = _whole_frames(f, at, size, left)
+                if end - at < left and number != files[-1][0]:
+                    end = max(end, size)
+            left -= end - at
+            file, byte = number, end
         return {"file": file, "byte": byte}
 
     def latestOffset(self) -> dict:

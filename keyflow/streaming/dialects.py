@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import urllib.parse
+
 
 def _unique(names: list[str]) -> list[str]:
     return list(dict.fromkeys(names))
@@ -11,13 +14,18 @@ class Dialect:
     """``upsert(table, pk, cols)`` and ``delete(table, pk)``; values go in as
     parameters, key columns first. Table names are taken as they are."""
 
-    quote_mark = '"'
+    quote_mark, style = '"', "qmark"
+
+    def __init__(self, paramstyle: str = ""):
+        self.style = paramstyle or self.style
 
     def quote(self, name: str) -> str:
-        return self.quote_mark + name.replace(self.quote_mark, self.quote_mark * 2) + self.quote_mark
+        name = self.quote_mark + name.replace(self.quote_mark, self.quote_mark * 2) + self.quote_mark
+        return name.replace("%", "%%") if self.style in ("format", "pyformat") else name
 
     def mark(self, number: int) -> str:
-        raise NotImplementedError
+        """Mark of a parameter, as DB-API modules name the styles (``dollar`` besides)."""
+        return {"qmark": "?", "format": "%s", "pyformat": "%s", "numeric": f":{number}", "dollar": f"${number}"}[self.style]
 
     def conflict(self, pk: list[str], cols: list[str]) -> str:
         raise NotImplementedError
@@ -33,8 +41,7 @@ class Dialect:
 
 
 class Postgres(Dialect):
-    def mark(self, number: int) -> str:
-        return f"${number}"
+    style = "dollar"
 
     def conflict(self, pk: list[str], cols: list[str]) -> str:
         keys = ", ".join(map(self.quote, pk))
@@ -46,16 +53,12 @@ class Postgres(Dialect):
 class Sqlite(Postgres):
     """The same statements with the parameter marks of the standard library's driver."""
 
-    def mark(self, number: int) -> str:
-        return "?"
+    style = "qmark"
 
 
 class MySql(Dialect):
     quote_mark = "`"
 
-    def mark(self, number: int) -> str:
-        return "?"
-
     def conflict(self, pk: list[str], cols: list[str]) -> str:
         return "ON DUPLICATE KEY UPDATE " + ", ".join(f"{self.quote(c)} = VALUES({self.quote(c)})" for c in cols or pk[:1])
 
@@ -63,8 +66,21 @@ class MySql(Dialect):
 DIALECTS = {"postgres": Postgres, "pgx": Postgres, "mysql": MySql, "sqlite": Sqlite}
 
 
-def dialect(name: str) -> Dialect:
+def dialect(name: str, paramstyle: str = "") -> Dialect:
     try:
-        return DIALECTS[name]()
+        return DIALECTS[name](paramstyle)
     except KeyError:
         raise ValueError(f"no dialect {name!r}; there are {', '.join(sorted(DIALECTS))}") from None
+
+
+def parsed_dsn(dsn: str) -> dict:
+    """``host, port, user, password, database`` (those that are given) of a connection
+    text: a URL, or ``user:password@tcp(host:port)/database?...``."""
+    if m := re.fullmatch(r"(?:([^:@/]*)(?::(.*))?@)?(?:tcp)?\(([^:()]*)(?::(\d+))?\)/([^?]*)(?:\?.*)?", dsn):
+        user, password, host, port, database = m.groups()
+    else:
+        url = urllib.parse.urlsplit(dsn if "://" in dsn else f"//{dsn}")
+        user, password = (urllib.parse.unquote(x) if x else x for x in (url.username, url.password))
+        host, port, database = url.hostname, url.port, url.path.strip("/")
+    found = {"host": host, "port": int(port) if port else None, "user": user, "password": password, "database": database}
+    return {k: v for k, v in found.items() if v not in (None, "")}

@@ -8,7 +8,6 @@ after the sink returned, so deliveries are at least once and sinks idempotent.
 from __future__ import annotations
 
 import json
-import tempfile
 import time
 import uuid
 from collections.abc import Callable
@@ -24,6 +23,7 @@ from keyflow.functions.envelope import to_events
 from keyflow.operators.gate import gate
 from keyflow.operators.snapshot import scan, snapshot_events
 from keyflow.sources.log_source import register
+from keyflow.sources.shared import shared_dir
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -35,12 +35,14 @@ class SourceMismatch(RuntimeError):
 @dataclass
 class Control:
     """Small control file beside the streaming checkpoint: whose log this is, the
-    anchor, and whether the snapshot has been written."""
+    anchor, whether the snapshot has been written, and a random id that is the
+    checkpoint's own, so that what is labelled with it is never taken for another's."""
 
     uri: str
     source_id: str
     anchor: tuple[int, int] | None = None
     snapshot_done: bool = False
+    run_id: str = field(default_factory=lambda: uuid.uuid4().hex[:12])
 
     def _place(self) -> tuple[pafs.FileSystem, str]:
         fs, root = pafs.FileSystem.from_uri(self.uri)
@@ -50,20 +52,21 @@ class Control:
     def load(self) -> Control:
         fs, path = self._place()
         if fs.get_file_info(path).type == pafs.FileType.NotFound:
+            self.save()  # so that the id is kept before anything is labelled with it
             return self
         with fs.open_input_stream(path) as f:
             kept = json.loads(f.read())
         if kept["source_id"] != self.source_id:
             raise SourceMismatch(f"the checkpoint belongs to {kept['source_id']}, not {self.source_id}")
         self.anchor = tuple(kept["anchor"]) if kept["anchor"] else None
-        self.snapshot_done = kept["snapshot_done"]
+        self.snapshot_done, self.run_id = kept["snapshot_done"], kept.get("run_id", self.run_id)
         return self
 
     def save(self) -> None:
         """Whole or not at all: written aside, then renamed."""
         fs, path = self._place()
         with fs.open_output_stream(path + ".new") as f:
-            f.write(json.dumps({"source_id": self.source_id, "anchor": self.anchor, "snapshot_done": self.snapshot_done}).encode())
+            f.write(json.dumps({"source_id": self.source_id, "anchor": self.anchor, "snapshot_done": self.snapshot_done, "run_id": self.run_id}).encode())
         fs.move(path + ".new", path)
 
 
@@ -125,8 +128,7 @@ def collected(stream: DataFrame, mode: str = "append") -> DataFrame:
     or, in complete mode, the last one. Checkpoint and output go to the folder that
     ``spark.checkpoint.dir`` names (a temporary one where it is unset)."""
     spark = stream.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="keyflow-")
-    place = f"{base.rstrip('/')}/keyflow-{uuid.uuid4().hex}"
+    place = f"{shared_dir(spark)}/keyflow-{uuid.uuid4().hex}"
 
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{place}/out" if mode == "complete" else f"{place}/out/batch={number}")

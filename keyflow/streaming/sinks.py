@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from keyflow.functions.envelope import partition_key, wire_json
 from keyflow.functions.position import sequence_number
 from keyflow.operators.coalesce import coalesce_rows
-from keyflow.operators.rules import Rule, column_shape, errors_of, map_events, rendered, rows_of
-from keyflow.streaming.dialects import dialect
+from keyflow.operators.rules import Rule, column_shape, key_of, map_events, rows_of
+from keyflow.streaming.dialects import dialect, parsed_dsn
 
 DELETE_SIGN, LABEL_TAKEN = "__DORIS_DELETE_SIGN__", "Label Already Exists"  # fixed values of the load protocol
 COMPRESSIONS = ("none", "gzip", "snappy", "lz4", "zstd")
@@ -62,26 +62,28 @@ def write_topic(events: DataFrame, brokers: str, topic: str, compression: str =
 
 
 def batch_rows(events: DataFrame, rules: list[Rule], compat: bool = False) -> DataFrame:
-    """Coalesced mutations of a batch: ``table, pk_text, pk, cols, del, reset, last``.
+    """Coalesced mutations of a batch: ``table, pk_key, pk, cols, del, reset, last``.
 
-    Raises ``SinkError`` if any event is mapped to an error.
+    Rows are told apart by ``pk_key``, the array of their key columns and values, so
+    that values may hold any character. An event that is mapped to an error fails the
+    job that reads the rows, with the event's key and error: one pass does both.
     """
     mapped = map_events(events, rules, compat)
-    wrong = errors_of(mapped).select("key", "row.error").take(1)
-    if wrong:
-        raise SinkError(f"{wrong[0].key}: {wrong[0].error}")
-    rows = rows_of(mapped).withColumn("pk_text", rendered(F.col("pk"))).withColumn("at", F.struct("filenum", "offset", "seq"))
-    also = (F.max_by("pk", "at").alias("pk"), F.max("at").alias("at"))
-    return coalesce_rows(rows, ("table", "pk_text"), "at", also).withColumnRenamed("at", "last")
+    told = F.concat_ws(": ", F.lit("cannot be mapped"), F.col("key"), F.col("row.error"))
+    action = F.when(F.col("row.action") == "error", F.raise_error(told)).otherwise(F.col("row.action"))
+    checked = mapped.withColumn("row", F.when(F.col("row").isNotNull(), F.col("row").withField("action", action)))
+    rows = rows_of(checked).select("table", key_of(F.col("pk")).alias("pk_key"), "cols", "del", F.struct("filenum", "offset", "seq").alias("at"))
+    return coalesce_rows(rows, ("table", "pk_key"), "at").withColumn("pk", F.map_from_entries("pk_key"))
 
 
-def write_sql(rows: DataFrame, connect: Callable[[], object], kind: str, chunk: int = 500) -> None:
+def write_sql(rows: DataFrame, connect: Callable[[], object], kind: str, chunk: int = 500, paramstyle: str = "") -> None:
     """Upsert and delete the rows of a batch, a transaction for each ``chunk`` rows.
 
     ``connect`` opens a DB-API connection in the task. A key is in one row of a batch,
-    so tasks do not meet; a retried task writes the same images again.
+    so tasks do not meet; a retried task writes the same images again. Parameter marks
+    are the driver's (``connect.paramstyle``, or as given).
     """
-    sql = dialect(kind)
+    sql = dialect(kind, paramstyle or getattr(connect, "paramstyle", ""))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         connection, n = connect(), 0
@@ -109,9 +111,18 @@ def write_sql(rows: DataFrame, connect: Callable[[], object], kind: str, chunk:
     rows.select("table", "pk", "cols", "del", "reset").mapInArrow(run, "n bigint").agg(F.sum("n")).collect()
 
 
-def connector(module: str, *args, **kwargs) -> Callable[[], object]:
-    """Opens connections with ``module.connect`` inside tasks."""
-    return lambda: importlib.import_module(module).connect(*args, **kwargs)
+class Connector:
+    """Opens connections of a DB-API module inside tasks, and knows its parameter marks.
+    A module that takes no connection text (MySQL's) gets its parts by name."""
+
+    def __init__(self, module: str, dsn: str, paramstyle: str = ""):
+        self.module, self.dsn = module, dsn
+        self.paramstyle = paramstyle or importlib.import_module(module).paramstyle
+
+    def __call__(self):
+        connect = importlib.import_module(self.module).connect
+        parts = parsed_dsn(self.dsn)
+        return connect(**parts) if self.module in ("pymysql", "MySQLdb") else connect(self.dsn)
 
 
 def split_table(name: str) -> tuple[str, str]:
@@ -120,41 +131,56 @@ def split_table(name: str) -> tuple[str, str]:
     return (database, table) if dot else ("information_schema", table)
 
 
-def load_requests(rows: DataFrame, batch_id: int, sequence_column: str = "", label: str = "keyflow", chunk: int = 1000) -> DataFrame:
-    """Bulk-load requests: ``path, label, columns, headers, body`` by table and shape.
+def load_requests(rows: DataFrame, batch_id: int, sequence_column: str = "", label: str = "keyflow", chunk: int = 1000, run: str = "", source_id: str = "") -> DataFrame:
+    """Bulk-load requests: ``path, label, columns, headers, body`` by table and shape, in
+    order of their paths and labels.
 
-    Each body is a JSON array of at most ``chunk`` rows that have the same columns.
+    Each body is a JSON array of at most ``chunk`` rows that have the same columns. Hash
+    shares of about that size, then slices of each share in order of their rows, so no
+    task holds more than a share. A label is the same when the batch is sent again, and
+    unlike those of any other ``run`` (the checkpoint's random id), source, database,
+    table or batch.
     """
     columns = column_shape(F.col("cols"), F.col("pk"), F.col("del"))
     values = F.map_concat(F.col("pk"), F.map_filter("cols", lambda k, v: ~F.map_contains_key(F.col("pk"), k)))
     values = F.map_concat(values, F.when(F.col("del"), F.create_map(F.lit(DELETE_SIGN), F.lit("1"))).otherwise(F.expr("CAST(map() AS MAP<STRING, STRING>)")))
     if sequence_column:
         values = F.map_concat(values, F.create_map(F.lit(sequence_column), sequence_number(F.col("last.filenum"), F.col("last.offset")).cast("string")))
-    share = F.pmod(F.xxhash64("pk_text"), F.greatest(F.lit(1), F.ceil(F.col("n") / chunk)))
+    share = F.pmod(F.xxhash64("pk_key"), F.greatest(F.lit(1), F.ceil(F.col("n") / chunk)))
     sizes = rows.groupBy("table", columns.alias("shape")).agg(F.count("*").alias("n"))
     dealt = rows.withColumn("shape", columns).join(sizes, ["table", "shape"]).withColumn("share", share)
     names = F.array_distinct(F.flatten(F.collect_set(F.map_keys("values"))))
-    grouped = dealt.withColumn("values", values).groupBy("table", "shape", "share").agg(F.array_sort(names).alias("columns"), F.collect_list("values").alias("all"))
+    grouped = dealt.withColumn("values", values).groupBy("table", "shape", "share").agg(F.array_sort(names).alias("columns"), F.array_sort(F.collect_list(F.to_json("values"))).alias("all"))
+    slices = F.transform(F.sequence(F.lit(0), F.floor((F.size("all") - 1) / chunk).cast("int")), lambda i: F.slice("all", i * chunk + 1, F.lit(chunk)))
+    grouped = grouped.select("table", "shape", "share", "columns", F.posexplode(slices).alias("part", "own"))
     parts = F.split("table", r"\.(?=[^.]*$)")
     database = F.when(F.size(parts) > 1, parts[0]).otherwise("information_schema")
-    name = F.when(F.size(parts) > 1, parts[1]).otherwise(F.col("table"))
-    tag = F.concat_ws("-", F.lit(label), F.lit(str(batch_id)), F.substring(F.md5(F.concat_ws("|", "table", "shape", F.col("share").cast("string"))), 1, 12))
+    name = F.when(F.size(parts) > 1, F.element_at(parts, -1)).otherwise(F.col("table"))
+    told = F.md5(F.to_json(F.array(F.lit(source_id), database, name, F.col("shape"), F.col("share").cast("string"), F.col("part").cast("string"))))
+    tag = F.concat_ws("-", F.lit(label), *([F.lit(run)] if run else []), F.lit(str(batch_id)), F.substring(told, 1, 16))
     headers = {"format": "json", "strip_outer_array": "true", "partial_columns": "true", **({"function_column.sequence_col": sequence_column} if sequence_column else {})}
     return grouped.select(
         F.concat(F.lit("/api/"), database, F.lit("/"), name, F.lit("/_stream_load")).alias("path"), tag.alias("label"), F.array_join("columns", ",").alias("columns"),
         F.create_map(*[F.lit(x) for pair in headers.items() for x in pair]).alias("headers"),
-        F.concat(F.lit("["), F.array_join(F.array_sort(F.transform("all", lambda v: F.to_json(v))), ","), F.lit("]")).alias("body"),
-    )
+        F.concat(F.lit("["), F.array_join("own", ","), F.lit("]")).alias("body"),
+    ).repartition("path").sortWithinPartitions("path", "label")
 
 
 def send_loads(requests: DataFrame, nodes: list[str], user: str, password: str = "", timeout: float = 60.0) -> None:
-    """Send the requests, in turn to the nodes; a label that exists counts as done."""
+    """Send the requests, in turn to the nodes; a node that cannot be reached is passed
+    over for the next one. A label that exists counts as done."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent = 0
         for batch in batches:
             for r in batch.to_pylist():
-                send_load(nodes[sent % len(nodes)], r, user, password, timeout)
+                for attempt in range(len(nodes)):
+                    try:
+                        send_load(nodes[(sent + attempt) % len(nodes)], r, user, password, timeout)
+                        break
+                    except (urllib.error.URLError, OSError):
+                        if attempt == len(nodes) - 1:
+                            raise
                 sent += 1
         yield pa.RecordBatch.from_arrays([pa.array([sent], pa.int64())], names=["n"])
 

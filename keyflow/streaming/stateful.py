@@ -57,7 +57,18 @@ def replay_stream(events: DataFrame) -> DataFrame:
     return rows.groupBy("key").transformWithStateInPandas(ReplayProcessor(), OUT_SCHEMA, "Update", "None")
 
 
-def without_redeliveries(events: DataFrame, horizon: str = "1 hour") -> DataFrame:
-    """Stream without events seen before, within ``horizon`` of execution time."""
-    timed = events.withColumn("at", F.timestamp_seconds("source.exec_time_s")).withColumn("place", F.struct("event_id", "source.filenum", "source.offset", "source.seq"))
-    return timed.withWatermark("at", horizon).dropDuplicatesWithinWatermark(["place"]).drop("at", "place")
+def without_redeliveries(events: DataFrame, horizon: str | None = None) -> DataFrame:
+    """Stream without events seen before, told by source, phase, position and number.
+
+    An event that was not seen before is never left out, however old it is; the state
+    is four numbers and a text an event, kept by the RocksDB state store on disk.
+    ``horizon`` bounds it: then positions are forgotten, and events dropped, that are
+    older than the newest by that much execution time. Only a source that cannot
+    deliver older files late may be read so.
+    """
+    place = ["__source", "phase", "__file", "__offset", "__seq"]
+    named = events.withColumns({"__source": F.col("source.id"), "__file": F.col("source.filenum"), "__offset": F.col("source.offset"), "__seq": F.col("source.seq")})
+    if horizon is None:
+        return named.dropDuplicates(place).drop("__source", "__file", "__offset", "__seq")
+    timed = named.withColumn("__at", F.timestamp_seconds("source.exec_time_s")).withWatermark("__at", horizon)
+    return timed.dropDuplicatesWithinWatermark(place).drop("__source", "__file", "__offset", "__seq", "__at")
