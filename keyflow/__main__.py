@@ -15,7 +15,7 @@ VERSION = "0.1.0"
 
 def sink_of(c: configuration.Config, run: str = "") -> runner.Sink:
     if k := c.sink.kafka:
-        return lambda batch, _: sinks.write_topic(batch, ",".join(k.brokers), k.topic, k.compression, k.include_heartbeats)
+        return lambda batch, _: sinks.write_topic(batch, ",".join(k.brokers), k.topic, k.compression, k.include_heartbeats, k.client_id, k.batch_bytes, k.partitions)
     if f := c.sink.file:
         return lambda batch, _: sinks.write_lines(batch, f.path, f.include_heartbeats)
     p = c.pipeline
@@ -51,9 +51,24 @@ def main(args: list[str] | None = None) -> int:
         from keyflow.functions.info import anchor_of
 
         runner.run_snapshot(state, control, anchor_of(with_info), sink, c.source.db, lifetimes=c.include_ttl)
+    metrics = runner.Metrics()
+    if c.metrics:
+        runner.serve_metrics(metrics, c.metrics)
+    spark.streams.addListener(runner.MetricsListener(metrics))
     trigger = None if found.once else f"{configuration.seconds(c.pipeline.flush_every if c.pipeline else '1s')} seconds"
-    events = lambda: runner.log_stream(spark, c.source.path, control, c.source.db, c.source.max_bytes, c.source.session_id)
-    (runner.drain if found.once else runner.supervise)(lambda: runner.start(events(), sink, f"{c.checkpoint}/stream", trigger))
+    running = []
+
+    def make():
+        events = runner.log_stream(spark, c.source.path, control, c.source.db, c.source.max_bytes, c.source.session_id)
+        running[:] = [runner.start(runner.observed(events), sink, f"{c.checkpoint}/stream", trigger)]
+        return running[0]
+
+    if found.once:
+        runner.drain(make)
+    else:
+        behind = runner.behind_of(c.source.path, lambda: running[0] if running else None)
+        beat = runner.heartbeat_to(sink, spark, control, c.source.path, c.source.db)
+        runner.supervise(make, stall=configuration.seconds(c.stall), behind=behind, idle=configuration.seconds(c.heartbeat), beat=beat)
     return 0
 
 

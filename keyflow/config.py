@@ -30,6 +30,9 @@ class TopicSink:
     topic: str = ""
     include_heartbeats: bool = False
     compression: str = "none"
+    client_id: str = "keyflow"
+    batch_bytes: int = 0
+    partitions: int = 0
 
 
 @dataclass
@@ -66,6 +69,8 @@ class Config:
     snapshot: str = ""
     include_ttl: bool = True
     heartbeat: str = "0s"
+    stall: str = "0s"
+    metrics: str = ""
 
 
 def seconds(text: str | int) -> float:
@@ -120,7 +125,10 @@ def parse(text: str) -> Config:
         if p.driver == "doris" and not p.fenodes or p.driver != "doris" and not p.dsn:
             raise ConfigError("pipeline needs fenodes (doris) or dsn")
         seconds(p.flush_every)
-    seconds(config.heartbeat)
+    for text in (config.heartbeat, config.stall):
+        seconds(text)
+    if config.metrics and not re.fullmatch(r".*:\d+", config.metrics):
+        raise ConfigError("metrics is host:port")
     config.checkpoint = config.checkpoint or config.source.path.rstrip("/") + "-checkpoint"
     return config
 

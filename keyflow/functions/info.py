@@ -1,69 +1,41 @@
-"""Replication status text: position and lag of a server."""
+"""Replication status text, as column expressions over whole texts."""
 
 from __future__ import annotations
 
-import re
-from dataclasses import dataclass
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 U32 = 2**32 - 1
-#: The field names that hold a file number.
+#: The names under which a status tells its file, its place and its lag.
 FILE_FIELDS = ("binlog_file_num", "binlog_filenum", "binlog_file")
+PLACE_FIELD, LAG_FIELD, LAGS_MARK = "binlog_offset", "master_lag", "lag=("
 
 
-@dataclass
-class ReplicationStatus:
-    filenum: int | None = None
-    offset: int | None = None
-    lag: int | None = None
+def _numbers(text: Column, pattern: str, group: int = 1) -> Column:
+    """All matches of one group, as numbers."""
+    return F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), lambda x: x.try_cast("bigint"))
 
 
-def parse_status(text: str) -> ReplicationStatus:
-    """Position from ``binlog_offset: F O``, ``binlog_offset=F,O`` or a lone offset with a
-    file field; lag from ``master_lag`` or the largest number after ``lag=(``.
+def _last(values: Column) -> Column:
+    return F.try_element_at(values, F.lit(-1))
 
-    ``ValueError`` if neither is there or a file number exceeds 32 bits.
-    """
-    out, file_seen = ReplicationStatus(), None
-
-    def place(part: str) -> None:
-        found = [int(x) for x in re.findall(r"[0-9]+", part)]
-        if len(found) >= 2:
-            out.filenum, out.offset = _u32(found[0]), found[1]
-        elif found:
-            out.offset = found[0]
-            out.filenum = file_seen if file_seen is not None else out.filenum
-
-    for line in text.splitlines():
-        line = line.strip()
-        if not line or line.startswith("#"):
-            continue
-        low = line.lower()
-        if (at := low.find("binlog_offset=")) >= 0:
-            place(line[at + len("binlog_offset=") :])
-        if (at := low.find("lag=(")) >= 0:
-            lags = [int(x) for x in re.findall(r"[0-9]+", line[at + len("lag=(") :])]
-            out.lag = max([*lags, *([out.lag] if out.lag is not None else [])], default=None)
-        name, colon, value = line.partition(":")
-        if not colon:
-            continue
-        name = name.strip().lower()
-        if name == "binlog_offset":
-            place(value)
-        elif name in FILE_FIELDS and (found := re.findall(r"[0-9]+", value)):
-            file_seen = _u32(int(found[0]))
-            if out.offset is not None and not out.filenum:
-                out.filenum = file_seen
-        elif name == "master_lag" and (found := re.findall(r"[0-9]+", value)):
-            out.lag = int(found[0])
-    if out.offset is None and out.lag is None:
-        raise ValueError("the status has neither a position nor a lag")
-    return out
 
+def replication_status(text: Column) -> Column:
+    """Struct ``filenum, offset, lag`` of a status text; null if it tells neither a place
+    nor a lag, or a file number above 32 bits.
 
-def _u32(number: int) -> int:
-    if number > U32:
-        raise ValueError("the file number exceeds 32 bits")
-    return number
+    A place is a pair of numbers after ``binlog_offset``, or a lone number there beside
+    a file field; the last of each counts. The lag is the server's own, or else the
+    largest of those of its replicas. Comment lines say nothing.
+    """
+    told = F.regexp_replace(text, r"(?m)^[ \t]*#.*$", "")
+    pair = rf"(?im)\b{PLACE_FIELD}[ \t]*[:=][^\d\r\n]*(\d+)[^\d\r\n]+(\d+)"
+    file = F.coalesce(_last(_numbers(told, pair, 1)), _last(_numbers(told, rf"(?im)^[ \t]*(?:{'|'.join(FILE_FIELDS)})[ \t]*:[^\d\r\n]*(\d+)")))
+    offset = F.coalesce(_last(_numbers(told, pair, 2)), _last(_numbers(told, rf"(?im)\b{PLACE_FIELD}[ \t]*[:=][^\d\r\n]*(\d+)")))
+    of_replicas = F.flatten(F.transform(F.regexp_extract_all(told, F.lit(r"(?im)lag=\((.*)$"), F.lit(1)), lambda rest: _numbers(rest, r"(\d+)")))
+    lag = F.coalesce(_last(_numbers(told, rf"(?im)^[ \t]*{LAG_FIELD}[ \t]*:[^\d\r\n]*(\d+)")), F.array_max(of_replicas))
+    said = (offset.isNotNull() | lag.isNotNull()) & (F.coalesce(file, F.lit(0)) <= U32)
+    return F.when(said, F.struct(F.when(offset.isNotNull(), file).alias("filenum"), offset.alias("offset"), lag.alias("lag")))
 
 
 def anchor_of(text: str) -> tuple[int, int]:
@@ -71,4 +43,7 @@ def anchor_of(text: str) -> tuple[int, int]:
     lines = text.splitlines()
     if len(lines) < 5:
         raise ValueError("the info file has fewer than five lines")
-    return _u32(int(lines[3].strip())), int(lines[4].strip())
+    filenum, offset = int(lines[3]), int(lines[4])
+    if filenum > U32:
+        raise ValueError("the file number exceeds 32 bits")
+    return filenum, offset

@@ -167,10 +167,20 @@ def map_events(events: DataFrame, rules: list[Rule], compat: bool = False) -> Da
     values = F.when(live & (kind == "hash"), hash_values).when(live & (kind == "string"), string_values)
     out = _settled(out, __values=values, __value=F.when(live & (kind == "string"), value))
 
-    def pk_of(r: Rule) -> Column:
+    lookup = F.when(~((kind == "hash") & is_hdel), F.col("__values"))
+
+    def parts_of(r: Rule) -> dict[str, Column]:
         captures = r.pattern.captures(key) if r.pattern else {}
-        lookup = F.when(kind == "hash", F.when(is_hdel, F.lit(None)).otherwise(F.col("__values"))).otherwise(F.col("__values"))
-        return F.create_map(*[x for n in r.pk for x in (F.lit(n), captures.get(n, F.try_element_at(lookup, F.lit(n))))])
+        return {n: captures.get(n, F.try_element_at(lookup, F.lit(n))) for n in r.pk}
+
+    def pk_of(r: Rule) -> Column:
+        return F.create_map(*[x for n, c in parts_of(r).items() for x in (F.lit(n), c)])
+
+    def missing_of(r: Rule) -> Column:
+        """Key columns without a value; what the key's pattern captures always has one."""
+        captured = set(r.pattern.names if r.pattern else ())
+        absent = [F.when(c.isNull(), F.lit(n)) for n, c in parts_of(r).items() if n not in captured]
+        return F.concat_ws(",", *absent) if absent else F.lit("")
 
     def cols_of(r: Rule) -> Column:
         if r.value_json:
@@ -183,22 +193,17 @@ def map_events(events: DataFrame, rules: list[Rule], compat: bool = False) -> Da
         may_meet = not r.fields or r.value_json or any(c in r.pk for c in r.fields.values()) or r.value_column in r.pk or not set(r.pk) <= captured
         return F.map_filter(own, lambda k, v: ~k.isin(*r.pk)) if may_meet else own
 
-    out = _settled(out, __pk=_by_rule(rules, pk_of), __cols=_by_rule(rules, cols_of))
-    missing = F.array_join(F.array_sort(F.transform(F.filter(F.map_entries("__pk"), lambda e: e["value"].isNull()), lambda e: e["key"])), ",")
-    no_key = F.exists(F.map_values("__pk"), lambda v: v.isNull())
+    out = _settled(out, __pk=_by_rule(rules, pk_of), __cols=_by_rule(rules, cols_of), __missing=_by_rule(rules, missing_of))
     ignored = [i for i, r in enumerate(rules) if r.delete == "ignore"]
     no_json = F.col("__rule").isin(*as_json) & (kind == "string") & F.col("__value").isNotNull() & F.col("__values").isNull() if as_json else F.lit(False)
-    skips = deleting & F.col("__rule").isin(*ignored) if ignored else F.lit(False)
-    action = (
-        F.when(F.col("__rule").isNull(), F.lit(None)).when(skips, "skip").when(~deleting & no_json, "error")
-        .when(~deleting & (F.coalesce(F.size("__cols"), F.lit(0)) <= 0), "skip").when(no_key, "error").when(deleting, "delete").otherwise("upsert")
-    )
-    out = _settled(out, __action=action)
-    error = F.when(F.col("__action") == "error", F.when(no_json & ~deleting, "the value is no JSON object").otherwise(F.concat(F.lit("no value for key column "), missing)))
+    skips = F.when(deleting, F.col("__rule").isin(*ignored) if ignored else F.lit(False)).otherwise(~no_json & (F.coalesce(F.size("__cols"), F.lit(0)) <= 0))
+    fails = ~skips & (F.when(deleting, F.lit(False)).otherwise(no_json) | (F.col("__missing") != ""))
+    action = F.when(skips, "skip").when(fails, "error").when(deleting, "delete").otherwise("upsert")
+    error = F.when(fails, F.when(~deleting & no_json, "the value is no JSON object").otherwise(F.concat(F.lit("no value for key column "), F.col("__missing"))))
     table = _by_rule(rules, lambda r: F.lit(r.table))
-    written = F.when(F.col("__action") == "upsert", F.col("__cols")).otherwise(empty)
-    row = F.struct(F.col("__rule").alias("rule"), F.col("__action").alias("action"), table.alias("table"), F.col("__pk").alias("pk"), written.alias("cols"), error.alias("error")).cast(ROW_TYPE)
-    return _settled(out, row=F.when(F.col("__rule").isNotNull(), row)).drop("__rule", "__values", "__value", "__pk", "__cols", "__action")
+    cols = F.when(skips | fails | deleting, empty).otherwise(F.col("__cols"))
+    row = F.struct(F.col("__rule").alias("rule"), action.alias("action"), table.alias("table"), F.col("__pk").alias("pk"), cols.alias("cols"), error.alias("error")).cast(ROW_TYPE)
+    return _settled(out, row=F.when(F.col("__rule").isNotNull(), row)).drop("__rule", "__values", "__value", "__pk", "__cols", "__missing")
 
 
 def rows_of(mapped: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 STATE_SCHEMA = (
-    "key string, typ string, s string, h map<string,string>, l array<string>, st array<string>, z map<string,double>, events bigint"
+    "key string, typ string, s string, h map<string,string>, l array<string>, st array<string>, z map<string,string>, events bigint"
 )
 
 
@@ -72,7 +72,8 @@ class KeyState:
                 self.value.difference_update(argv[2:])
                 self._close_if_empty()
             case "ZADD" if pairs and self._open("zset", {}):
-                self.value.update((m, float(s)) for s, m in zip(argv[2::2], argv[3::2], strict=True))
+                # Scores stay as they were written; ``canonical`` reads them as numbers.
+                self.value.update(zip(argv[3::2], argv[2::2], strict=True))
             case "ZREM" if n >= 3 and self.typ == "zset":
                 for m in argv[2:]:
                     self.value.pop(m, None)
@@ -132,11 +133,13 @@ def fold_hashes(events: DataFrame) -> DataFrame:
 
 
 def canonical(state: DataFrame):
-    """One text per state: members sorted (lists in order), scores as numbers."""
+    """One text per state: members sorted (lists in order), scores as numbers where they
+    are some, else as written."""
+    scores = F.transform_values(F.col("z"), lambda k, v: F.coalesce(v.cast("string").try_cast("double").cast("string"), v.cast("string")))
     joined = lambda m: F.array_join(F.array_sort(F.transform(F.map_entries(m), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))), ",")
     return (
         F.when(F.col("typ") == "string", F.concat(F.lit("string:"), "s")).when(F.col("typ") == "hash", F.concat(F.lit("hash{"), joined(F.col("h")), F.lit("}")))
-        .when(F.col("typ") == "zset", F.concat(F.lit("zset{"), joined(F.col("z")), F.lit("}")))
+        .when(F.col("typ") == "zset", F.concat(F.lit("zset{"), joined(scores), F.lit("}")))
         .when(F.col("typ") == "list", F.concat(F.lit("list["), F.array_join("l", ","), F.lit("]")))
         .when(F.col("typ") == "set", F.concat(F.lit("set{"), F.array_join(F.array_sort("st"), ","), F.lit("}"))).otherwise("none")
     )

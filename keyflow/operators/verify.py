@@ -61,6 +61,32 @@ def watched(spark: SparkSession, events: DataFrame, watch: Watch) -> DataFrame:
     return wanted.join(counts, "key", "left").select("key", F.coalesce("n", F.lit(0)).alias("n"), (F.coalesce("n", F.lit(0)) >= watch.least).alias("ok"))
 
 
+def three_way(spark: SparkSession, events: DataFrame, watch: Watch, live: DataFrame) -> DataFrame:
+    """Every key of the watch: ``key, n, ok, model, live, agrees``. The model is the state
+    that the events replay to, ``live`` (``key, state`` as text) what the source holds;
+    a key that neither has agrees."""
+    from keyflow.operators.state import canonical, fold_states
+
+    folded = fold_states(events.where(F.col("key").startswith(watch.prefix)))
+    model = folded.where("typ != 'none'").select("key", canonical(folded).alias("model"))
+    seen = watched(spark, events, watch).join(model, "key", "left").join(live.select("key", F.col("state").alias("live")), "key", "left")
+    return seen.withColumn("agrees", F.col("model").eqNullSafe(F.col("live")))
+
+
+def export_difference(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Rows that only one of two exports has, with their number: ``side, n`` and the rows'
+    columns. Both need the same columns."""
+    signed = left.withColumn("__n", F.lit(1)).unionByName(right.withColumn("__n", F.lit(-1)))
+    more = signed.groupBy(*left.columns).agg(F.sum("__n").alias("__n")).where("__n != 0")
+    return more.select(F.when(F.col("__n") > 0, "left").otherwise("right").alias("side"), F.abs("__n").alias("n"), *[F.col(f"`{c}`") for c in left.columns])
+
+
+def backlog_tail(log: DataFrame, delivered: tuple[int, int] | None) -> DataFrame:
+    """What is yet to be delivered, by file: ``filenum, entries, first, last`` offsets."""
+    rest = log if delivered is None else log.where(F.struct("filenum", "offset") > F.struct(F.lit(delivered[0]).cast("bigint").alias("filenum"), F.lit(delivered[1]).cast("bigint").alias("offset")))
+    return rest.groupBy("filenum").agg(F.count("*").alias("entries"), F.min("offset").alias("first"), F.max("offset").alias("last"))
+
+
 def sampled(events: DataFrame, one_in: int) -> DataFrame:
     """The events of one key in ``one_in``, chosen by the first 32 bits of the key's md5."""
     return events.where(F.conv(F.substring(F.md5("key"), 1, 8), 16, 10).cast("bigint") % one_in == 0)

@@ -541,14 +541,6 @@ def q45_busy_keys(spark, sf_dir):
     return log_events(spark, sf_dir).groupBy("key").agg(F.count("*").alias("n")).where("n >= 60")
 
 
-@query()
-def q46_churn_states(spark, sf_dir):
-    """States after a random storm of ten commands (no SQL form: an ordered fold)."""
-    n = spark.read.parquet(f"{sf_dir}/customer.parquet").count()
-    folded = fold_states(to_events(workload.churn(spark, n * 10, n), SOURCE_ID, DB))
-    return folded.select("key", "typ", canonical(folded).alias("state"), "events")
-
-
 @query(_with("""SELECT key, count(*) AS n FROM log WHERE CAST('0x' || substr(md5(key), 1, 8) AS BIGINT) % 8 = 0 GROUP BY key"""))
 def q47_sampled_keys(spark, sf_dir):
     """One key in eight, by hash."""

@@ -44,13 +44,15 @@ def preload(spark: SparkSession, keys: int, start: int = 0) -> DataFrame:
 
 
 def net_zero_storm(spark: SparkSession, keys: int, operations: int, lag: int = 1000) -> DataFrame:
-    """Pairs that cancel out, ``lag`` operations apart: new keys written and deleted, and
-    members added to preloaded collections and taken out again."""
+    """Pairs that cancel out, ``lag`` operations apart: new keys written and deleted,
+    members added to preloaded collections and taken out again, and preloaded strings
+    deleted and restored."""
     rows = spark.range(operations).withColumn("part", F.explode(F.array(F.lit(0), F.lit(1))))
     i, undo = F.col("id"), F.col("part") == 1
     text, target = i.cast("string"), F.pmod(i * 7919, F.lit(max(1, keys // 5))) * 5
     argv = (
-        F.when(i % 4 == 0, F.when(undo, _array("DEL", _s("tmp:", text))).otherwise(_array("SET", _s("tmp:", text), "x")))
+        F.when(i % 8 == 4, F.when(undo, _array("SET", _s("str:", target.cast("string")), F.when(target % 10 == 0, (target + 1000).cast("string")).otherwise(_s("sv", target.cast("string"))))).otherwise(_array("DEL", _s("str:", target.cast("string")))))
+        .when(i % 4 == 0, F.when(undo, _array("DEL", _s("tmp:", text))).otherwise(_array("SET", _s("tmp:", text), "x")))
         .when(i % 4 == 1, F.when(undo, _array("HDEL", _s("hsh:", (target + 1).cast("string")), _s("n", text))).otherwise(_array("HSET", _s("hsh:", (target + 1).cast("string")), _s("n", text), "v")))
         .when(i % 4 == 2, F.when(undo, _array("SREM", _s("set:", (target + 3).cast("string")), _s("n", text))).otherwise(_array("SADD", _s("set:", (target + 3).cast("string")), _s("n", text))))
         .otherwise(F.when(undo, _array("ZREM", _s("zst:", (target + 4).cast("string")), _s("n", text))).otherwise(_array("ZADD", _s("zst:", (target + 4).cast("string")), "2.5", _s("n", text))))
@@ -88,9 +90,11 @@ CHURN_MIX = (("SET", 25), ("HSET", 20), ("HDEL", 5), ("RPUSH", 10), ("LPOP", 5),
 
 
 def churn(spark: SparkSession, operations: int, keys: int, seed: int = 42) -> DataFrame:
-    """Random commands on random keys, the same for the same seed."""
-    roll, key = F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(100)), F.pmod(F.xxhash64(F.lit(seed + 1), "id"), F.lit(keys)).cast("string")
-    member, text = _s("m", F.pmod(F.xxhash64(F.lit(seed + 2), "id"), F.lit(8)).cast("string")), F.col("id").cast("string")
+    """Random commands on random keys, the same for the same seed (by md5, so that any
+    store can make the same storm)."""
+    text = F.col("id").cast("string")
+    drawn = lambda n, below: F.conv(F.substring(F.md5(_s(f"{seed + n}:", text)), 1, 8), 16, 10).cast("bigint") % below
+    roll, key, member = drawn(0, 100), drawn(1, keys).cast("string"), _s("m", drawn(2, 8).cast("string"))
     forms = {
         "SET": _array("SET", _s("str:", key), text), "HSET": _array("HSET", _s("hsh:", key), member, text), "HDEL": _array("HDEL", _s("hsh:", key), member),
         "RPUSH": _array("RPUSH", _s("lst:", key), text), "LPOP": _array("LPOP", _s("lst:", key)), "SADD": _array("SADD", _s("set:", key), member),
@@ -112,3 +116,13 @@ def probe(spark: SparkSession) -> DataFrame:
     for at, command in enumerate(commands):
         argv = F.when(F.col("id") == at, _array(*command)) if argv is None else argv.when(F.col("id") == at, _array(*command))
     return _log(rows, F.col("id"), argv)
+
+
+def mutations(spark: SparkSession, operations: int, keys: int, start: int = 0) -> DataFrame:
+    """A storm that is told by arithmetic alone: operation i writes key ``k:(7i mod keys)``,
+    every third time as a hash field, every tenth deletes the key of ten before."""
+    rows, i = spark.range(operations), F.col("id")
+    key = lambda n: _s("k:", F.pmod(n * 7, F.lit(keys)).cast("string"))
+    text = i.cast("string")
+    argv = F.when(i % 10 == 9, _array("DEL", key(i - 9))).when(i % 3 == 0, _array("HSET", _s("h:", F.pmod(i * 7, F.lit(keys)).cast("string")), _s("f", (i % 4).cast("string")), text)).otherwise(_array("SET", key(i), text))
+    return _log(rows, i + start, argv)

@@ -8,10 +8,12 @@ after the sink returned, so deliveries are at least once and sinks idempotent.
 from __future__ import annotations
 
 import json
+import threading
 import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +24,7 @@ from keyflow.functions.decode import decode_log
 from keyflow.functions.envelope import to_events
 from keyflow.operators.gate import gate
 from keyflow.operators.snapshot import scan, snapshot_events
-from keyflow.sources.log_source import register
+from keyflow.sources.log_source import LogStreamReader, register
 from keyflow.sources.shared import shared_dir
 
 Sink = Callable[[DataFrame, int], None]
@@ -101,10 +103,14 @@ def start(events: DataFrame, sink: Sink, checkpoint: str, trigger: str | None =
     return (writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)).start()
 
 
-def supervise(make: Callable[[], StreamingQuery], restarts: int = 5, pause: float = 1.0, stall: float = 0.0, behind: Callable[[], bool] | None = None) -> StreamingQuery:
+def supervise(
+    make: Callable[[], StreamingQuery], restarts: int = 5, pause: float = 1.0, stall: float = 0.0, behind: Callable[[], bool] | None = None,
+    idle: float = 0.0, beat: Callable[[], None] | None = None,
+) -> StreamingQuery:
     """Run a query to its end; start it anew from its checkpoint when it fails, or when it
-    made no progress for ``stall`` seconds although ``behind`` says there is more."""
-    left = restarts
+    made no progress for ``stall`` seconds although ``behind`` says there is more. After
+    each ``idle`` seconds without rows, ``beat`` is called."""
+    left, rested = restarts, time.time()
     while True:
         query, seen, since = make(), None, time.time()
         try:
@@ -112,6 +118,10 @@ def supervise(make: Callable[[], StreamingQuery], restarts: int = 5, pause: floa
                 now = (query.lastProgress or {}).get("batchId")
                 if now != seen:
                     seen, since = now, time.time()
+                    rested = since if (query.lastProgress or {}).get("numInputRows") else rested
+                if beat and idle and time.time() - rested > idle:
+                    beat()
+                    rested = time.time()
                 if stall and time.time() - since > stall and behind and behind():
                     query.stop()
                     raise TimeoutError(f"no progress for {stall} s")
@@ -155,6 +165,52 @@ def with_heartbeat(batch: DataFrame, control: Control, at: tuple[int, int], db:
     return batch.select(*[f.name for f in EVENT.fields]).unionByName(beat)
 
 
+def heartbeat_to(sink: Sink, spark: SparkSession, control: Control, uri: str, db: str = "db0") -> Callable[[], None]:
+    """Sends one heartbeat at the log's end through the sink."""
+
+    def beat() -> None:
+        from keyflow.functions.envelope import EVENT
+
+        end = LogStreamReader({"path": uri}).latestOffset()
+        sink(with_heartbeat(spark.createDataFrame([], EVENT), control, (end["file"], end["byte"]), db), -2)
+
+    return beat
+
+
+def behind_of(uri: str, query: Callable[[], StreamingQuery | None]) -> Callable[[], bool]:
+    """Whether the log goes on after what the query has taken."""
+
+    def behind() -> bool:
+        progress = query() and query().lastProgress
+        taken = json.loads(progress["sources"][0]["endOffset"] or "null") if progress and isinstance(progress["sources"][0]["endOffset"], str) else (progress["sources"][0]["endOffset"] if progress else None)
+        end = LogStreamReader({"path": uri}).latestOffset()
+        return taken is None or (end["file"], end["byte"]) > (taken["file"], taken["byte"])
+
+    return behind
+
+
+def serve_metrics(metrics: Metrics, listen: str) -> ThreadingHTTPServer:
+    """``/metrics`` and ``/healthz`` at ``host:port``, served by a thread."""
+
+    class Page(BaseHTTPRequestHandler):
+        def do_GET(self):
+            body = {"/metrics": metrics.text(), "/healthz": "ok\n"}.get(self.path)
+            data = (body or "not found\n").encode()
+            self.send_response(200 if body else 404)
+            self.send_header("Content-Type", "text/plain; version=0.0.4")
+            self.send_header("Content-Length", str(len(data)))
+            self.end_headers()
+            self.wfile.write(data)
+
+        def log_message(self, *_):
+            pass
+
+    host, _, port = listen.rpartition(":")
+    server = ThreadingHTTPServer((host or "0.0.0.0", int(port)), Page)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    return server
+
+
 @dataclass
 class Metrics:
     """Counters of a run, as text for a scraper."""

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyflow.functions.envelope import partition_key, wire_json
-from keyflow.functions.position import sequence_number
+from keyflow.functions.position import route, sequence_number
 from keyflow.operators.coalesce import coalesce_rows
 from keyflow.operators.rules import Rule, column_shape, key_of, map_events, rows_of
 from keyflow.streaming.dialects import dialect, parsed_dsn
@@ -48,16 +48,25 @@ def write_lines(events: DataFrame, path: str, heartbeats: bool = False) -> None:
     in_key_order(deliverable(events, heartbeats)).select(wire_json(events).alias("value")).write.mode("append").text(path)
 
 
-def topic_rows(events: DataFrame, heartbeats: bool = False) -> DataFrame:
-    """``key`` and ``value`` of the messages; the key decides the topic's partition."""
+def topic_rows(events: DataFrame, heartbeats: bool = False, partitions: int = 0) -> DataFrame:
+    """``key`` and ``value`` of the messages; the key decides the topic's partition: the
+    connector's own way, or by FNV-1a hash over ``partitions``, as column ``partition``."""
     rows = in_key_order(deliverable(events, heartbeats))
-    return rows.select(partition_key(F.col("db"), F.col("key")).alias("key"), wire_json(rows).alias("value"))
+    key = partition_key(F.col("db"), F.col("key"))
+    return rows.select(key.alias("key"), wire_json(rows).alias("value"), *([route(key, partitions).alias("partition")] if partitions else []))
 
 
-def write_topic(events: DataFrame, brokers: str, topic: str, compression: str = "none", heartbeats: bool = False) -> None:
+def write_topic(
+    events: DataFrame, brokers: str, topic: str, compression: str = "none", heartbeats: bool = False,
+    client_id: str = "", batch_bytes: int = 0, partitions: int = 0,
+) -> None:
     if compression not in COMPRESSIONS:
         raise ValueError(f"compression must be one of {', '.join(COMPRESSIONS)}, not {compression}")
-    out = topic_rows(events, heartbeats).write.format("kafka").option("kafka.bootstrap.servers", brokers).option("topic", topic)
+    out = topic_rows(events, heartbeats, partitions).write.format("kafka").option("kafka.bootstrap.servers", brokers).option("topic", topic)
+    if client_id:
+        out = out.option("kafka.client.id", client_id)
+    if batch_bytes:
+        out = out.option("kafka.batch.size", batch_bytes)
     out.option("kafka.acks", "all").option("kafka.compression.type", compression).save()
 
 
@@ -174,19 +183,23 @@ def send_loads(requests: DataFrame, nodes: list[str], user: str, password: str =
         sent = 0
         for batch in batches:
             for r in batch.to_pylist():
-                for attempt in range(len(nodes)):
-                    try:
-                        send_load(nodes[(sent + attempt) % len(nodes)], r, user, password, timeout)
-                        break
-                    except (urllib.error.URLError, OSError):
-                        if attempt == len(nodes) - 1:
-                            raise
+                send_to_nodes(nodes, r, sent, user, password, timeout)
                 sent += 1
         yield pa.RecordBatch.from_arrays([pa.array([sent], pa.int64())], names=["n"])
 
     requests.mapInArrow(run, "n bigint").agg(F.sum("n")).collect()
 
 
+def send_to_nodes(nodes: list[str], r: dict, first: int, user: str, password: str, timeout: float) -> None:
+    """One load to the node whose turn it is, or the next one that can be reached."""
+    for attempt in range(len(nodes)):
+        try:
+            return send_load(nodes[(first + attempt) % len(nodes)], r, user, password, timeout)
+        except OSError:
+            if attempt == len(nodes) - 1:
+                raise
+
+
 class _NoRedirect(urllib.request.HTTPRedirectHandler):
     def redirect_request(self, *args):
         return None

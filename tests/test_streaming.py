@@ -2,19 +2,20 @@ import json
 import sqlite3
 import struct
 import threading
+import urllib.request
 from http.server import BaseHTTPRequestHandler, HTTPServer
 
 import pytest
 from pyspark.sql import functions as F
 
-from keyflow import __main__, config
+from keyflow import __main__, config, tools
 from keyflow.functions.decode import resp_bytes
 from keyflow.functions.envelope import EVENT, to_events
 from keyflow.operators.rules import Rule
 from keyflow.operators.state import fold_states
 from keyflow.sources import files, log_source, workload
 from keyflow.streaming import runner, sinks, stateful
-from keyflow.streaming.dialects import dialect
+from keyflow.streaming.dialects import dialect, parsed_dsn
 
 USERS = Rule("ods_user", ["uid"], ["hash"], "user:{uid}", {"name": "name", "age": "age"})
 
@@ -36,6 +37,109 @@ def test_dialects():
     assert dialect("pgx").delete("t", ["a", "b"]) == 'DELETE FROM t WHERE "a" = $1 AND "b" = $2'
     with pytest.raises(ValueError):
         dialect("other")
+    assert dialect("postgres", "pyformat").delete("t", ["a%", "b"]) == 'DELETE FROM t WHERE "a%%" = %s AND "b" = %s'
+    assert dialect("mysql", "format").upsert("t", ["a"], ["b"]).startswith("INSERT INTO t (`a`, `b`) VALUES (%s, %s)") and dialect("sqlite", "numeric").delete("t", ["a"]).endswith('"a" = :1')
+    assert parsed_dsn("u:p@s@tcp(db.host:3307)/shop?tls=true") == {"host": "db.host", "port": 3307, "user": "u", "password": "p@s", "database": "shop"}
+    assert parsed_dsn("mysql://u:p%40s@h/d") == {"host": "h", "user": "u", "password": "p@s", "database": "d"} and parsed_dsn("tcp(h)/d") == {"host": "h", "database": "d"}
+
+
+STUB = """
+import sqlite3
+paramstyle = "{style}"
+
+
+class Cursor:
+    def __init__(self, inner):
+        self.inner = inner
+
+    def execute(self, sql, values):
+        assert "?" not in sql and "$1" not in sql and sql.count("%s") == len(values)
+        self.inner.execute(sql.replace("%s", "?").replace("%%", "%"), values)
+
+
+class Connection:
+    def __init__(self, path):
+        self.inner = sqlite3.connect(path, timeout=30)
+
+    def cursor(self):
+        return Cursor(self.inner.cursor())
+
+    def __getattr__(self, name):
+        return getattr(self.inner, name)
+
+
+def connect(dsn=None, **parts):
+    return Connection(dsn or "/" + parts["database"])
+"""
+
+
+@pytest.mark.parametrize("module, kind, style", [("pgstub", "postgres", "pyformat"), ("pymysql", "mysql", "format")])
+def test_sql_sinks_speak_the_drivers_marks(spark, tmp_path, monkeypatch, module, kind, style):
+    """Modules that take only their own parameter marks, one of them connection parts by
+    name. (SQLite understands the upsert of one dialect, so the other only deletes.)"""
+    (tmp_path / f"{module}.py").write_text(STUB.replace("{style}", style))
+    monkeypatch.syspath_prepend(str(tmp_path))
+    db = tmp_path / "t.db"
+    with sqlite3.connect(db) as c:
+        c.execute("CREATE TABLE t (a TEXT, b TEXT, v TEXT, PRIMARY KEY (a, b))")
+        c.execute("INSERT INTO t VALUES ('1', '2', 'old'), ('3', '4', 'stays')")
+    gone = [["DEL", "k:1:2"]] if kind == "mysql" else [["HSET", "k:1:2", "v", "new"], ["HSET", "k:5:6", "v", "x"]]
+    rows = sinks.batch_rows(log_of(spark, gone), [Rule("t", ["a", "b"], ["hash"], "k:{a}:{b}")]).coalesce(1)
+    dsn = f"mysql://u@h{db}" if kind == "mysql" else str(db)
+    connector = sinks.Connector(module, dsn)
+
+    def connect(path=str(tmp_path)):  # the tasks' processes do not know the test's path
+        import sys
+
+        sys.path.insert(0, path)
+        return connector()
+
+    sinks.write_sql(rows, connect, kind, paramstyle=connector.paramstyle)
+    left = sqlite3.connect(db).execute("SELECT * FROM t ORDER BY a").fetchall()
+    assert left == ([("3", "4", "stays")] if kind == "mysql" else [("1", "2", "new"), ("3", "4", "stays"), ("5", "6", "x")])
+
+
+def log_of(spark, commands):
+    log = spark.createDataFrame([(3, 40 * (i + 1), 0, 0, c) for i, c in enumerate(commands)], "filenum bigint, offset bigint, seq bigint, exec_time_s bigint, argv array<string>")
+    return to_events(log.withColumn("argv", F.col("argv").cast("array<binary>")), "s")
+
+
+def test_composite_keys_stay_apart(spark):
+    rule = Rule("t", ["a", "b"], ["hash"], "k:{a}:{b}")
+    rows = sinks.batch_rows(log_of(spark, [["HSET", "k:1,b=2:3", "v", "x"], ["HSET", "k:1:2,b=3", "v", "y"]]), [rule]).collect()
+    assert {(r.pk["a"], r.pk["b"], r.cols["v"]) for r in rows} == {("1,b=2", "3", "x"), ("1", "2,b=3", "y")}
+
+
+def test_unmappable_events_fail_the_batch(spark):
+    rows = sinks.batch_rows(log_of(spark, [["HSET", "any", "x", "1"]]), [Rule("t", ["id"], ["hash"])])
+    with pytest.raises(Exception, match="cannot be mapped: any: no value for key column id"):
+        rows.collect()
+
+
+def test_load_chunks_and_labels(spark):
+    rows = sinks.batch_rows(log_of(spark, [["HSET", f"user:{i}", "name", "x"] for i in range(57)]), [USERS])
+    some = lambda **o: sinks.load_requests(rows, -1, chunk=10, **o).select("label", "body").collect()
+    one = some(run="r1", source_id="a")
+    assert max(len(json.loads(r.body)) for r in one) <= 10 and sum(len(json.loads(r.body)) for r in one) == 57
+    assert sorted(one) == sorted(some(run="r1", source_id="a"))
+    labels = [r.label for options in ({"run": "r1", "source_id": "a"}, {"run": "r2", "source_id": "a"}, {"run": "r1", "source_id": "b"}) for r in some(**options)]
+    assert len(set(labels)) == len(labels)
+
+
+def test_loads_pass_over_dead_nodes(spark, monkeypatch):
+    asked = []
+
+    def send(node, r, *_):
+        asked.append(node)
+        if node == "dead":
+            raise ConnectionRefusedError(node)
+
+    monkeypatch.setattr(sinks, "send_load", send)
+    requests = spark.createDataFrame([("p", "l")], "path string, label string")
+    sent = sinks.send_to_nodes
+    assert sent(["dead", "alive"], requests.collect()[0].asDict(), 0, "u", "", 1.0) is None and asked == ["dead", "alive"]
+    with pytest.raises(ConnectionRefusedError):
+        sent(["dead"], {}, 0, "u", "", 1.0)
 
 
 def test_log_source_batch(spark, tmp_path):
@@ -61,7 +165,7 @@ def test_stream_to_table_with_restart(spark, tmp_path):
     control = runner.Control(f"file://{state}", "node").load()
     control.anchor = (1, 100)
     control.save()
-    connect, fail = sinks.connector("sqlite3", str(db)), []
+    connect, fail = sinks.Connector("sqlite3", str(db)), []
 
     def sink(batch, number):
         sinks.write_sql(sinks.batch_rows(batch, [USERS]), connect, "sqlite")
@@ -218,6 +322,92 @@ def test_command_line(spark, tmp_path):
     assert sorted(r.op for r in files.read_events(spark, str(out)).collect()) == ["d", "u"]
 
 
+def test_late_files_are_not_late(spark, tmp_path):
+    """A file that was never seen counts, however old its entries."""
+    log = to_events(workload.striped_load(spark, 90), "s").select(*[f.name for f in EVENT.fields])
+    log = log.withColumn("source", F.col("source").withField("exec_time_s", F.col("source.offset") * 100))
+    for i, part in enumerate(("source.offset >= 4000", "source.offset >= 3000", "source.offset < 3000")):
+        log.where(part).coalesce(1).write.json(str(tmp_path / "in" / str(i)))
+    stream = spark.readStream.schema(EVENT).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).json(str(tmp_path / "in"))
+    assert runner.collected(stateful.without_redeliveries(stream).select("event_id")).count() == 90
+
+
+def test_log_ends(tmp_path):
+    """Closed files end where they end; the newest is walked, up to the limit."""
+    one, two = frames([["SET", "a", "1"]] * 3), frames([["SET", "b", "2"]] * 2, 2)
+    (tmp_path / "1").write_bytes(one)
+    (tmp_path / "2").write_bytes(two + two[:9])
+    reader = log_source.LogStreamReader({"path": f"file://{tmp_path}"})
+    assert reader.latestOffset() == {"file": 2, "byte": len(two)}
+    bounded = log_source.LogStreamReader({"path": f"file://{tmp_path}", "maxbytes": str(len(one) + 1)})
+    assert bounded.latestOffset() == {"file": 2, "byte": len(two) // 2}
+    tight = log_source.LogStreamReader({"path": f"file://{tmp_path}", "maxbytes": "5"})
+    assert tight.latestOffset() == {"file": 1, "byte": len(one) // 3}
+    steps = {"file": -1, "byte": 0}
+    for _ in range(5):
+        end = tight._end(steps, 5)
+        assert (end["file"], end["byte"]) > (steps["file"], steps["byte"])
+        steps = end
+    assert steps == {"file": 2, "byte": len(two)}
+
+
+def test_tools(spark, tmp_path, capsys):
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    assert tools.main(["mutate", "--out", a, "--operations", "60", "--keys", "11", "--source", "s"]) == 0
+    assert tools.main(["mutate", "--out", b, "--operations", "59", "--keys", "11", "--source", "s"]) == 0
+    assert tools.main(["peek", "--events", a, "-n", "3"]) == 0
+    assert tools.main(["verify", "--events", a, "--prefix", "k:", "--watch", "k:0-10:1"]) == 0
+    assert tools.main(["verify", "--events", a, "--watch", "k:0-11:1"]) == 1
+    assert tools.main(["compare", "--source", a, "--target", a]) == 0 and tools.main(["compare", "--source", a, "--target", b]) == 1
+    assert tools.main(["ordchk", "--events", a]) == 0
+    truth = [{"f": 0, "o": 64 * i, "cmd": c, "key": k} for i, (c, k) in enumerate((r.command, r.key) for r in files.read_events(spark, a).orderBy("source.offset").collect())]
+    (tmp_path / "gt.json").write_text("\n".join(map(json.dumps, truth)))
+    assert tools.main(["audit", "--events", a, "--truth", str(tmp_path / "gt.json")]) == 0
+    assert tools.main(["audit", "--events", b, "--truth", str(tmp_path / "gt.json")]) == 0  # the last entry is pending
+    (tmp_path / "gt.json").write_text("\n".join(map(json.dumps, truth[1:])))
+    assert tools.main(["audit", "--events", a, "--truth", str(tmp_path / "gt.json")]) == 1  # a ghost
+    for x, events in (("x", a), ("y", b)):
+        assert tools.main(["replay", "--events", events, "--out", str(tmp_path / x), "--prefix", "k:"]) == 0
+    assert tools.main(["diff", str(tmp_path / "x"), str(tmp_path / "x")]) == 0 and tools.main(["diff", str(tmp_path / "x"), str(tmp_path / "y")]) == 1
+    assert "@0:" in capsys.readouterr().out
+
+
+def test_metrics_page():
+    metrics = runner.Metrics()
+    metrics.add("keyflow_entries_received_total", 3)
+    server = runner.serve_metrics(metrics, "127.0.0.1:0")
+    read = lambda path: urllib.request.urlopen(f"http://127.0.0.1:{server.server_port}{path}").read().decode()
+    assert "keyflow_entries_received_total 3" in read("/metrics") and read("/healthz") == "ok\n"
+    server.shutdown()
+
+
+def test_heartbeats_and_stalls(spark, tmp_path):
+    """An idle query beats; one that stands still while the log goes on is started anew."""
+    logs, beats, seen = tmp_path / "log", [], []
+    logs.mkdir()
+    (logs / "1").write_bytes(frames([["SET", "a", "1"]]))
+    control, uri = runner.Control(f"file://{tmp_path}/c", "n").load(), f"file://{logs}"
+    sink = lambda batch, n: seen.append((n, sorted(r.phase for r in batch.collect())))
+    beat = runner.heartbeat_to(sink, spark, control, uri)
+
+    def counted():
+        beat()
+        beats.append(1)
+        query.stop()
+
+    query = runner.start(runner.log_stream(spark, uri, control), sink, str(tmp_path / "s"), "1 second")
+    runner.supervise(lambda: query, idle=0.5, beat=counted)
+    assert beats and (-2, ["heartbeat"]) in seen
+    made = []
+
+    def make():
+        made.append(runner.start(runner.log_stream(spark, uri, control), sink, str(tmp_path / f"s{len(made)}"), "1 hour" if not made else None))
+        return made[-1]
+
+    runner.supervise(make, pause=0.1, stall=3.0, behind=lambda: len(made) == 1)
+    assert len(made) == 2
+
+
 def test_metrics(spark, tmp_path):
     metrics = runner.Metrics()
     listener = runner.MetricsListener(metrics)
