@@ -113,9 +113,10 @@ def key_ranges(blocks: DataFrame, words_per_range: int = WORDS_PER_RANGE) -> int
     return max(at_least, -(-words // words_per_range))
 
 
-def cuts(ranges: np.ndarray, n: int) -> np.ndarray:
-    """Bounds of each range 0..n-1 in the sorted array ``ranges``."""
-    return np.searchsorted(ranges, np.arange(n + 1))
+def parts_of(ranges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers of the sorted array ``ranges``, and the bounds of each."""
+    first = np.flatnonzero(np.concatenate([[True], ranges[1:] != ranges[:-1]])) if len(ranges) else np.empty(0, np.int64)
+    return ranges[first], np.append(first, len(ranges))
 
 
 def answers_by_block(answers: DataFrame) -> DataFrame:

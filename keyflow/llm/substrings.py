@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyflow.llm.blocks import answers_by_block, cuts, key_ranges, pack, text_blocks, unpack
+from keyflow.llm.blocks import answers_by_block, key_ranges, pack, parts_of, text_blocks, unpack
 from keyflow.llm.store import discard, written
 from keyflow.llm.words import gram_hashes, word_hashes
 
@@ -159,10 +159,10 @@ def references(blocks: DataFrame, width: int = WIDTH, anchor_words: int = ANCHOR
         for batch in batches:
             for b, payload in zip(batch["block"].to_pylist(), batch["payload"], strict=True):
                 found = Windows(unpack(payload.as_py()), width, anchor_words)
-                at = cuts(_range_of(found.anchors, n), n)
+                parts, at = parts_of(_range_of(found.anchors, n))
                 rows = {"block": [], "part": [], "said": []}
-                for p in np.flatnonzero(np.diff(at)).tolist():
-                    own = slice(at[p], at[p + 1])
+                for p, s, e in zip(parts.tolist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
+                    own = slice(s, e)
                     for k, v in zip(rows, (b, p, found.anchors[own].tobytes() + np.packbits(found.shared[own]).tobytes()), strict=True):
                         rows[k].append(v)
                 yield _rows(rows, types)
@@ -189,19 +189,20 @@ def references(blocks: DataFrame, width: int = WIDTH, anchor_words: int = ANCHOR
         for batch in batches:
             for b, payload, answers in zip(batch["block"].to_pylist(), batch["payload"], batch["answers"], strict=True):
                 found = Windows(unpack(payload.as_py()), width, anchor_words)
-                bounds = cuts(_range_of(found.anchors, n), n)
+                parts, bounds = parts_of(_range_of(found.anchors, n))
                 live = np.zeros(len(found.anchors), bool)
                 for x in answers.as_py():
-                    s, e = bounds[x["part"]], bounds[x["part"] + 1]
+                    k = int(np.searchsorted(parts, x["part"]))
+                    s, e = bounds[k], bounds[k + 1]
                     live[s:e] = np.unpackbits(np.frombuffer(x["answer"], np.uint8), count=e - s)
                 index = np.flatnonzero(live[np.searchsorted(found.anchors, found.anchor)])  # every anchor is known
                 part = _range_of(found.anchor[index], n)
                 order = np.argsort(part, kind="stable")
                 index, part = index[order], part[order]
-                at = cuts(part, n)
+                parts, at = parts_of(part)
                 rows = {"block": [], "part": [], "sent": []}
-                for p in np.flatnonzero(np.diff(at)).tolist():
-                    own = index[at[p] : at[p + 1]]
+                for p, s, e in zip(parts.tolist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
+                    own = index[s:e]
                     for k, v in zip(rows, (b, p, _packed(found.window[own], found.low[own], own.astype("<u4"))), strict=True):
                         rows[k].append(v)
                 yield _rows(rows, types)

@@ -1,8 +1,9 @@
 """Operators on single texts and corpora, against brute force or exact round trips."""
 
 import hashlib
-import random
+import itertools
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -66,6 +67,44 @@ def test_duplicate_spans(docs, no_docs):
     assert substrings.duplicate_spans(no_docs).count() == 0
 
 
+def test_factors(docs):
+    """Each factor is a run of words that an earlier document has where the factor says,
+    a window long at least, and as long as it can be or as what it was lent; all windows
+    of earlier documents lie in factors."""
+    texts = {r.doc_id: WORDS.findall(r.text or "") for r in docs.collect()}
+    first = {}
+    for i in sorted(texts):
+        for k in range(len(texts[i]) - 12):
+            first.setdefault(tuple(texts[i][k : k + 13]), i)
+    factors = {}
+    for f in substrings.duplicate_factors(docs).collect():
+        assert f.length >= 13 and f.source_id < f.doc_id
+        run = texts[f.doc_id][f.start : f.start + f.length]
+        assert run == texts[f.source_id][f.source_start : f.source_start + f.length]
+        assert first[tuple(run[:13])] == f.source_id
+        factors.setdefault(f.doc_id, set()).update(range(f.start, f.start + f.length - 12))
+    want = {i: {k for k in range(len(w) - 12) if first[tuple(w[k : k + 13])] < i} for i, w in texts.items()}
+    assert factors == {i: w for i, w in want.items() if w}
+
+
+def test_agreement_reads_words():
+    """Equal hashes of other words do not count."""
+    a, b = substrings.Laid.of([b"x y z q"]), substrings.Laid.of([b"x  y w q"])
+    assert substrings.agreement(a, 0, 4, b, 0, 4) == 2
+    b.words = a.words
+    assert substrings.agreement(a, 0, 4, b, 0, 4) == 2
+
+
+def test_long_texts_in_substrings(spark):
+    """Texts above a block's size, which hold each other's passages."""
+    rnd = random.Random(8)
+    one = [f"w{rnd.randrange(10**6)}" for _ in range(30_000)]
+    rows = [(1, " ".join(one)), (2, " ".join([*one[20_000:], *one[:100]])), (3, " ".join(one[5_000:5_040]))]
+    found = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert blocks.text_blocks(found, block_bytes=50_000).count() >= 2
+    assert sorted((r.doc_id, r.n_words, r.n_removed) for r in substrings.duplicate_spans(found).collect()) == [(1, 30_000, 0), (2, 10_100, 10_100), (3, 40, 40)]
+
+
 def test_substring_stage(docs, no_docs):
     out = substrings.without_duplicates(docs)
     got = sorted((r.doc_id, " ".join(WORDS.findall(r.text or ""))) for r in out.collect())
@@ -249,8 +288,48 @@ def test_lm_counts(docs, no_docs):
         assert math.isclose(r.base_score, sum(math.log10((counts[w] + 0.1) / (n + 0.1 * (v + 1))) for w in tokens), rel_tol=1e-9)
         assert r.score < 0
     assert lm.lm_scores(no_docs, rounds=1).count() == 0
-    untrained = lm.lm_scores(docs.where("doc_id = 999999"), rounds=1)
-    assert untrained.count() == 0
+    assert lm.lm_scores(docs.where("doc_id = 999999"), rounds=1).count() == 0
+    alone = docs.where("doc_id IS NOT NULL").collect()
+    held = [r.doc_id for r in alone if not fold(r.doc_id, 10)]
+    untrained = lm.lm_scores(docs.where(F.col("doc_id").isin(held)), rounds=1).collect()
+    assert untrained and all(r.held_out and r.train_tokens == 0 and r.n_known == 0 and math.isfinite(r.score) and math.isfinite(r.base_score) for r in untrained)
+
+
+def test_lm_score_is_the_sum_over_paths(spark, monkeypatch):
+    """Scores of short texts against all state paths, word by word, with frequent words of
+    their own symbol and rare words in shared ones."""
+    rnd = random.Random(9)
+    texts = [" ".join(rnd.choice(["a", "b", "c", f"r{rnd.randrange(40)}"]) for _ in range(rnd.randrange(0, 5))) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    monkeypatch.setattr(lm, "OWN_BITS", 4)  # words with a sixteenth of all have their own symbol
+    found = blocks.text_blocks(df)
+    _, totals = lm.word_counts(found)
+    assert 2 <= len(totals["own"]) <= 16
+    model = lm.train(found, totals, 2, 2)
+    room, counts = lm.room_of(totals), Counter(w for i, t in enumerate(texts) if fold(i, 10) for w in t.split())
+    got = {r.doc_id: r.score for r in lm.lm_scores(df, states=2, rounds=2).collect()}
+    for i, t in enumerate(texts):
+        hashes, _ = words.many_word_hashes([t.encode()])
+        symbols = [*lm.symbols_of(hashes, totals["own"]).tolist(), lm.END]
+        within = math.prod((counts[w] + 0.1) / room[x] for w, x in zip(t.split(), symbols, strict=False))
+        total = 0.0
+        for path in itertools.product(range(2), repeat=len(symbols)):
+            p = model.start[path[0]] * model.emit[symbols[0], path[0]]
+            for a, b, x in zip(path[:-1], path[1:], symbols[1:], strict=True):
+                p *= model.move[a, b] * model.emit[x, b]
+            total += p
+        assert math.isclose(got[i], math.log10(total * within), rel_tol=1e-6)
+
+
+def test_segments_count_every_transition(monkeypatch):
+    """Counts of segments with their context are nearly those of whole texts."""
+    rng = np.random.default_rng(3)
+    symbols = np.append(np.where(rng.random(999) < 0.5, rng.integers(0, 20, 999), rng.integers(20, 40, 999)), lm.END).astype(np.int32)
+    bounds, model = np.array([0, 400, 401, 1000]), tiny_model(2, 5)
+    whole = lm.expected_counts(model, symbols, bounds)
+    monkeypatch.setattr(lm, "SEGMENT", 32)
+    cut = lm.expected_counts(model, symbols, bounds)
+    assert np.allclose(whole, cut, atol=0.02) and math.isclose(cut[lm.END + 1 : -1].sum(), 1000 - 3, rel_tol=1e-4)
 
 
 def tiny_model(k=3, seed=0):
@@ -285,8 +364,8 @@ def test_baum_welch_raises_the_likelihood(monkeypatch):
         last, total = now, lm.expected_counts(model, symbols, bounds)
         assert math.isclose(total[: lm.END + 1].sum(), len(symbols), rel_tol=1e-4)
         emit = total[: lm.END + 1] + 1e-6
-        move, start = total[lm.END + 1 : -2] + 1e-3, total[-2] + 1e-3
-        model = lm.Model(start / start.sum(), model.after, move / move.sum(1, keepdims=True), emit / emit.sum(0))
+        move, start = total[lm.END + 1 : -1] + 1e-3, total[-1] + 1e-3
+        model = lm.Model(start / start.sum(), model.inside, move / move.sum(1, keepdims=True), emit / emit.sum(0))
 
 
 def language_rows():
