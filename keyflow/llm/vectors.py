@@ -1,12 +1,14 @@
 """Embedding near-dedup by PCA-ordered tiled comparison.
 
 Unit vectors are rotated to their principal axes, which keeps every cosine, and dealt
-into tiles along the first axis. Two vectors of cosine c lie sqrt(2 - 2c) apart, so
-only tiles whose boxes in the leading axes come that near are compared. A pair of
-tiles sums products over the leading axes first; what the others can add is at most
-the product of the two suffix norms, and pairs that cannot reach the threshold are
-dropped after each step. The rest is decided by the full cosine in double precision.
-Equal vectors are one from the start, and links are counted inside tile pairs.
+into tiles by median cuts along the leading axes, each cut where a part is widest. Two
+vectors of cosine c lie sqrt(2 - 2c) apart, so only tiles whose boxes in the leading
+axes come that near are compared. Neighbouring tiles form groups, and a tile travels
+once to each group that it meets, not once to each tile. A pair of tiles sums products
+over the leading axes first; what the others can add is at most the product of the two
+suffix norms, and pairs that cannot reach the threshold are dropped after each step.
+The rest is decided by the full cosine in double precision. Equal vectors are one from
+the start, and links are counted inside tile pairs.
 """
 
 from __future__ import annotations
@@ -19,10 +21,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyflow.llm.near import local_roots
-from keyflow.llm.store import connected_components, written
+from keyflow.llm.store import connected_components, discard, written
 
 THRESHOLD = 0.95
-TILE_ROWS, BOX_AXES, STRIP_ROWS, MAX_CUTS = 4096, 8, 512, 4096
+TILE_ROWS, BOX_AXES, STRIP_ROWS, GROUP_TILES = 4096, 8, 512, 8
+MAX_DEPTH, SAMPLE_ROWS = 12, 1 << 16
 STEPS, DENSE_SHARE, SLACK = (8, 16, 32), 0.05, 1e-9
 
 
@@ -56,25 +59,54 @@ def candidates(a: np.ndarray, b: np.ndarray, threshold: float) -> tuple[np.ndarr
     return left, right
 
 
-def linked_pairs(a: np.ndarray, b: np.ndarray, turn: np.ndarray, threshold: float, same: bool):
+class Tile:
+    """Vectors of a tile with what every comparison needs: lengths and rotated units."""
+
+    def __init__(self, x: np.ndarray, turn: np.ndarray):
+        self.x, self.length = x, np.linalg.norm(x, axis=1)
+        self.unit = x / self.length[:, None] @ turn
+
+
+def linked_pairs(a: Tile, b: Tile, threshold: float, same: bool):
     """Pairs (i, j) of rows of a and b with cosine >= threshold; i < j if ``same``."""
-    length_a, length_b = np.linalg.norm(a, axis=1), np.linalg.norm(b, axis=1)
-    unit_a, unit_b = a / length_a[:, None] @ turn, b / length_b[:, None] @ turn
     lefts, rights = [], []
-    for at in range(0, len(a), STRIP_ROWS):
-        left, right = candidates(unit_a[at : at + STRIP_ROWS], unit_b, threshold)
+    for at in range(0, len(a.x), STRIP_ROWS):
+        left, right = candidates(a.unit[at : at + STRIP_ROWS], b.unit, threshold)
         left = left + at
         if same:
             left, right = left[left < right], right[left < right]
         for s in range(0, len(left), 1 << 16):
             i, j = left[s : s + (1 << 16)], right[s : s + (1 << 16)]
-            ok = np.einsum("ij,ij->i", a[i], b[j]) / (length_a[i] * length_b[j]) >= threshold
+            ok = np.einsum("ij,ij->i", a.x[i], b.x[j]) / (a.length[i] * b.length[j]) >= threshold
             lefts.append(i[ok])
             rights.append(j[ok])
     none = np.empty(0, np.int64)
     return (np.concatenate(lefts), np.concatenate(rights)) if lefts else (none, none)
 
 
+def median_cuts(points: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Axis and bound of each inner node of a binary tree in heap order: every part is
+    cut at its median along the axis in which it is widest."""
+    axis, bound = np.zeros((1 << depth) - 1, np.int64), np.zeros((1 << depth) - 1)
+    parts = {0: points}
+    for node in range(len(axis)):
+        own = parts.pop(node)
+        if len(own):
+            axis[node] = int(np.argmax(own.std(0)))
+            bound[node] = float(np.median(own[:, axis[node]]))
+        above = own[:, axis[node]] > bound[node] if len(own) else np.empty(0, bool)
+        parts[2 * node + 1], parts[2 * node + 2] = own[~above], own[above]
+    return axis, bound
+
+
+def leaf_of(points: np.ndarray, axis: np.ndarray, bound: np.ndarray) -> np.ndarray:
+    """Number of the leaf that each point falls into; neighbours have near numbers."""
+    node = np.zeros(len(points), np.int64)
+    for _ in range((len(axis) + 1).bit_length() - 1):
+        node = 2 * node + 1 + (points[np.arange(len(points)), axis[node]] > bound[node])
+    return node - len(axis)
+
+
 def _matrix(column) -> np.ndarray:
     """Rows of a list column as doubles."""
     values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
@@ -99,26 +131,34 @@ def _links_of(classes: DataFrame, dims: int, rows: int, threshold: float, tile_r
         second[r.k] = r.v  # dims squared numbers
     turn = np.linalg.eigh(second.reshape(dims, dims))[1][:, ::-1].copy()
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kind = dict(classes.dtypes)["vector"]
+    axes = min(BOX_AXES, dims)
+
+    def leads(x: np.ndarray) -> np.ndarray:
+        return x / np.linalg.norm(x, axis=1, keepdims=True) @ turn[:, :axes] if len(x) else np.empty((0, axes))
+
+    n_tiles = -(-rows // tile_rows)
+    depth = min(MAX_DEPTH, (n_tiles - 1).bit_length())
+    axis, bound = np.empty(0, np.int64), np.empty(0)
+    if depth:
+        # The cuts come from a hash sample of about SAMPLE_ROWS vectors, whatever their number.
+        some = classes.where(F.pmod(F.xxhash64("rep"), F.lit(1 << 30)) < min(1 << 30, (SAMPLE_ROWS << 30) // rows)).select("rep", "vector").orderBy("rep")
+        points = np.array([r.vector for r in some.collect()], dtype=np.float64)
+        if len(points):
+            axis, bound = median_cuts(leads(points), depth)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _matrix(batch.column(2))
-            lead = x / np.linalg.norm(x, axis=1, keepdims=True) @ turn[:, :1] if len(x) else np.empty((0, 1))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lead[:, 0], pa.float64())], names=["rep", "copies", "vector", "lead"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf_of(leads(_matrix(batch.column(2))), axis, bound))], names=["rep", "copies", "vector", "leaf"])
 
-    kind = dict(classes.dtypes)["vector"]
-    placed = written(classes.select("rep", "copies", "vector").mapInArrow(place, f"rep bigint, copies bigint, vector {kind}, lead double"), "placed")
-    n_cuts = min(MAX_CUTS, -(-rows // tile_rows)) - 1
-    points = placed.agg(F.percentile_approx("lead", [(i + 1) / (n_cuts + 1) for i in range(n_cuts)]).alias("c")).first().c if n_cuts else []
-    bounds = F.array(*[F.lit(float(c)) for c in points]) if points else F.array().cast("array<double>")
-    strip = F.size(F.filter(bounds, lambda c: c <= F.col("lead")))
-    dealt = placed.withColumn("strip", strip)
-    sizes = dealt.groupBy("strip").agg(F.ceil(F.count("*") / tile_rows).cast("int").alias("shares"))
-    dealt = dealt.join(sizes, "strip").withColumn("tile", F.shiftleft(F.col("strip").cast("bigint"), 32) + F.pmod(F.xxhash64("rep"), F.col("shares")))
+    dealt = written(classes.select("rep", "copies", "vector").mapInArrow(deal, f"rep bigint, copies bigint, vector {kind}, leaf bigint"), "dealt")
+    sizes = dealt.groupBy("leaf").agg(F.ceil(F.count("*") / tile_rows).alias("shares"))
+    tiled = dealt.join(sizes, "leaf").withColumn("tile", F.shiftleft("leaf", 32) + F.pmod(F.xxhash64("rep"), F.col("shares")))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def row(tile, reps, copies, parts):
             reps, copies, x = np.concatenate(reps), np.concatenate(copies), np.concatenate(parts)
-            lead = x / np.linalg.norm(x, axis=1, keepdims=True) @ turn[:, :BOX_AXES]
+            lead = leads(x)
             order = np.argsort(reps, kind="stable")
             narrow = x.astype(np.float32) if kind == "array<float>" else x
             return pa.RecordBatch.from_arrays(
@@ -147,7 +187,7 @@ def _links_of(classes: DataFrame, dims: int, rows: int, threshold: float, tile_r
             yield row(key, *held)
 
     tiles = written(
-        dealt.select("tile", "rep", "copies", "vector").repartition("tile").sortWithinPartitions("tile")
+        tiled.select("tile", "rep", "copies", "vector").repartition("tile").sortWithinPartitions("tile")
         .mapInArrow(pack, "tile bigint, reps binary, copies binary, vectors binary, low array<double>, high array<double>"),
         "tiles", "none",
     )
@@ -161,38 +201,58 @@ def _links_of(classes: DataFrame, dims: int, rows: int, threshold: float, tile_r
         F.lit(0.0), lambda acc, x: acc + x * x,
     )
     pairs = one.join(two, "band").where((F.col("i") <= F.col("j")) & (gap <= reach)).select("i", "j").distinct()
-    data = tiles.select("tile", "reps", "copies", "vectors")
-    work = (
-        pairs.join(data.select(F.col("tile").alias("i"), F.struct("reps", "copies", "vectors").alias("a")), "i")
-        .join(data.select(F.col("tile").alias("j"), F.struct("reps", "copies", "vectors").alias("b")), "j")
-        .select("i", "j", "a.*", F.col("b.reps").alias("reps_b"), F.col("b.copies").alias("copies_b"), F.col("b.vectors").alias("vectors_b"))
-    )
+    # Tiles travel to pairs of groups. Groups are larger the more tiles there are, as long
+    # as that leaves several pairs of groups for each of the session's shuffle partitions.
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    size = max(1, min(GROUP_TILES, int(n_tiles / (2 * parts) ** 0.5)))
+    leaves, shares = (size, 1) if n_tiles <= 1 << MAX_DEPTH else (1, size)
+    group = lambda c: F.shiftleft(F.floor(F.shiftright(c, 32) / leaves).cast("bigint"), 32) + F.floor(c.bitwiseAND(F.lit((1 << 32) - 1)) / shares).cast("bigint")
+    met = written(pairs.groupBy(group(F.col("i")).alias("gi"), group(F.col("j")).alias("gj")).agg(F.collect_list(F.struct("i", "j")).alias("pairs")), "pairs")
+    wanted = met.select("gi", "gj", F.explode(F.array_distinct(F.flatten(F.transform("pairs", lambda p: F.array(p["i"], p["j"]))))).alias("tile"))
+    work = wanted.join(tiles.select("tile", "reps", "copies", "vectors"), "tile").unionByName(met.select("gi", "gj", F.lit(None).cast("bigint").alias("tile"), "pairs"), allowMissingColumns=True)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = np.float32 if kind == "array<float>" else np.float64
+        key, todo, held = None, [], {}
+
+        def links_of(i: int, j: int) -> pa.RecordBatch | None:
+            (reps, copies, a), (reps_b, copies_b, b) = held[i], held[j]
+            left, right = linked_pairs(a, b, threshold, i == j)
+            if not len(left):
+                return None
+            if i != j:
+                right = right + len(reps)
+                reps, copies = np.concatenate([reps, reps_b]), np.concatenate([copies, copies_b])
+            links = np.bincount(left, copies[right], len(reps)) + np.bincount(right, copies[left], len(reps))
+            place = np.argsort(np.argsort(reps, kind="stable"), kind="stable")
+            ordered = np.sort(reps)
+            roots = ordered[local_roots(len(reps), place[left], place[right])][place]
+            some = np.flatnonzero(links)
+            return pa.RecordBatch.from_arrays([pa.array(reps[some]), pa.array(links[some].astype(np.int64)), pa.array(roots[some])], names=["rep", "links", "root"])
+
+        def done() -> Iterator[pa.RecordBatch]:
+            for p in todo:
+                if (found := links_of(p["i"], p["j"])) is not None:
+                    yield found
+
+        # Sorted, the row with a group pair's tile pairs comes before its tiles.
         for batch in batches:
-            for i, j, *parts in zip(*batch.columns, strict=True):
-                same = i.as_py() == j.as_py()
-                raw = [p.as_py() for p in parts]
-                reps, copies, x, reps_b, copies_b, y = (
-                    np.frombuffer(r, t) for r, t in zip(raw, (np.int64, np.int64, number) * 2, strict=True)
-                )
-                x, y = x.reshape(-1, dims).astype(np.float64), y.reshape(-1, dims).astype(np.float64)
-                left, right = linked_pairs(x, y, turn, threshold, same)
-                if not len(left):
+            for gi, gj, tile, reps, copies, vectors, pairs in zip(*batch.columns, strict=True):
+                if (own := (gi.as_py(), gj.as_py())) != key:
+                    yield from done()
+                    key, todo, held = own, [], {}
+                if tile.as_py() is None:
+                    todo = pairs.as_py()
                     continue
-                if not same:
-                    right = right + len(reps)
-                    reps, copies = np.concatenate([reps, reps_b]), np.concatenate([copies, copies_b])
-                links = np.bincount(left, copies[right], len(reps)) + np.bincount(right, copies[left], len(reps))
-                place = np.argsort(np.argsort(reps, kind="stable"), kind="stable")
-                ordered = np.sort(reps)
-                roots = ordered[local_roots(len(reps), place[left], place[right])][place]
-                some = np.flatnonzero(links)
-                yield pa.RecordBatch.from_arrays([pa.array(reps[some]), pa.array(links[some].astype(np.int64)), pa.array(roots[some])], names=["rep", "links", "root"])
+                x = np.frombuffer(vectors.as_py(), number).reshape(-1, dims).astype(np.float64)
+                held[tile.as_py()] = (np.frombuffer(reps.as_py(), np.int64), np.frombuffer(copies.as_py(), np.int64), Tile(x, turn))
+        yield from done()
 
-    n_tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    return work.repartition(n_tasks, "i", "j").mapInArrow(compare, "rep bigint, links bigint, root bigint")
+    work = work.select("gi", "gj", "tile", "reps", "copies", "vectors", "pairs")
+    tasks = max(parts, met.count())
+    found = written(work.repartition(tasks, "gi", "gj").sortWithinPartitions("gi", "gj", "tile").mapInArrow(compare, "rep bigint, links bigint, root bigint"), "links")
+    discard(dealt, tiles, met)
+    return found
 
 
 def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = THRESHOLD, tile_rows: int = TILE_ROWS) -> DataFrame:
@@ -214,18 +274,15 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
         found = part if found is None else found.union(part)
     if found is None:
         found = df.sparkSession.range(0).select(*[F.col("id").alias(c) for c in ("rep", "links", "root")])
-    linked = written(found, "links")
+    linked = found
     roots = connected_components(linked.select(F.col("rep").alias("u"), F.col("root").alias("v")))
     links = linked.groupBy("rep").agg(F.sum("links").alias("links"))
     about = classes.join(links, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
         F.col("vector").alias("same"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n"), F.coalesce("root", "rep").alias("c")
     )
-    out = rows.join(about, F.when(F.col("fit"), F.col("vector")) == F.col("same"), "left")
-    component = F.when(F.col("fit"), F.col("c")).otherwise(F.col("id"))
-    return out.select(
-        "id", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_links"), component.alias("component_id"),
-        F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
-    )
+    fit = rows.where("fit").join(about, F.col("vector") == F.col("same")).select("id", "n", "c")
+    alone = rows.where("NOT fit").select("id", F.lit(0).cast("bigint").alias("n"), F.col("id").alias("c"))
+    return fit.unionByName(alone).select("id", F.col("n").cast("bigint").alias("n_links"), F.col("c").alias("component_id"), F.coalesce(F.col("id") == F.col("c"), F.lit(True)).alias("kept"))
 
 
 def op1(spark, sf_dir: str) -> DataFrame:
