@@ -55,25 +55,34 @@ def to_png(payload: bytes) -> bytes:
     return PNG_SIGNATURE + _chunk(b"IHDR", head) + _chunk(b"IDAT", zlib.compress(lines.tobytes(), 1)) + _chunk(b"IEND", b"")
 
 
-def from_png(data: bytes) -> np.ndarray:
-    """Samples of a PNG that ``to_png`` could have made; ``ValueError`` if damaged."""
+def chunks_of(data: bytes) -> Iterator[tuple[bytes, bytes]]:
+    """Kind and body of each chunk; ``ValueError`` at the first that is damaged."""
     if data[:8] != PNG_SIGNATURE:
         raise ValueError("not a PNG")
-    at, shape, body = 8, None, []
-    while at < len(data):
+    at, kind = 8, b""
+    while at + 12 <= len(data):
         (size,) = struct.unpack_from(">I", data, at)
-        kind, part = data[at + 4 : at + 8], data[at + 8 : at + 8 + size]
-        if data[at + 8 + size : at + 12 + size] != struct.pack(">I", zlib.crc32(part, zlib.crc32(kind))):
+        kind, body = data[at + 4 : at + 8], data[at + 8 : at + 8 + size]
+        if data[at + 8 + size : at + 12 + size] != struct.pack(">I", zlib.crc32(body, zlib.crc32(kind))):
             raise ValueError("damaged PNG chunk")
+        yield kind, body
+        at += 12 + size
+    if at != len(data) or kind != b"IEND":
+        raise ValueError("PNG cut short")
+
+
+def from_png(data: bytes) -> np.ndarray:
+    """Samples of a PNG that ``to_png`` could have made; ``ValueError`` if damaged."""
+    shape, parts = None, []
+    for kind, body in chunks_of(data):
         if kind == b"IHDR":
-            width, height, depth, colour, _, _, interlace = struct.unpack(">IIBBBBB", part)
+            width, height, depth, colour, _, _, interlace = struct.unpack(">IIBBBBB", body)
             if (depth, colour, interlace) != (8, 0, 0):
                 raise ValueError("not a plain 8-bit greyscale PNG")
             shape = height, width + 1
         elif kind == b"IDAT":
-            body.append(part)
-        at += 12 + size
-    lines = np.frombuffer(zlib.decompress(b"".join(body)), dtype=np.uint8).reshape(shape)
+            parts.append(body)
+    lines = np.frombuffer(zlib.decompress(b"".join(parts)), dtype=np.uint8).reshape(shape)
     if lines[:, 0].any():
         raise ValueError("filtered PNG rows")
     return np.ascontiguousarray(lines[:, 1:])
@@ -155,7 +164,8 @@ class MediaArchiveReader(DataSourceReader):
             yield self._batch(rows)
 
     def _retried(self, read):
-        """Each member alone: what failed is read again from its own offset."""
+        """Each member alone: what could not be read, or came damaged, is read again from
+        its own offset; the members before and after it are not."""
         for attempt in range(self.retries + 1):
             try:
                 return read()
@@ -177,8 +187,10 @@ class MediaArchiveReader(DataSourceReader):
     def _member(fs: pafs.FileSystem, path: str, offset: int, length: int) -> bytes:
         with fs.open_input_file(path) as f:
             data = f.read_at(length, offset)
-        if len(data) != length or data[:8] != PNG_SIGNATURE:
+        if len(data) != length:
             raise ValueError(f"{path}: no member at {offset}")
+        for _ in chunks_of(data):  # their checksums
+            pass
         return data
 
     @staticmethod

@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import threading
 import zlib
 from collections import Counter
 
@@ -15,6 +16,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from keyflow.llm import blocks, bpe, chat, langid, lm, media, mixing, quality, substrings, words
+from keyflow.llm.store import shared_dir
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 fold = lambda i, n: zlib.crc32(b"" if i is None else str(i).encode()) % n
@@ -207,6 +209,36 @@ def test_members_are_retried_alone(tmp_path):
         media.from_png(b"no image")
 
 
+def test_damaged_members_are_read_again(spark, docs, tmp_path):
+    """One byte of one member is wrong when Spark's tasks read it, and right a little later."""
+    uri = f"file://{tmp_path}/a"
+    media.write_archives(docs.coalesce(1), uri).collect()
+    (path,) = (tmp_path / "a").glob("*.kfm")
+    good = path.read_bytes()
+    at = good.index(b"IDAT", len(good) // 3) + 20
+    path.write_bytes(good[:at] + bytes([good[at] ^ 255]) + good[at + 1 :])
+    with pytest.raises(Exception, match="damaged PNG chunk"):
+        media.read_archives(spark, uri, retries=0).count()
+    timer = threading.Timer(3.0, lambda: path.write_bytes(good))
+    timer.start()
+    assert media.read_archives(spark, uri, retries=7).count() == docs.count()
+    timer.join()
+
+
+def test_media_features(spark):
+    """The summary of the samples, recomputed from the text's bytes."""
+    texts = ["", "a", "zero \x00 bytes", "x" * 200]
+    found = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    directory = f"{shared_dir(spark)}/features-{random.random()}"
+    media.write_archives(found, directory).collect()
+    for r in media.features(media.read_archives(spark, directory)).collect():
+        raw = texts[r.doc_id].encode()
+        samples = np.frombuffer(raw.ljust(max(64, -(-len(raw) // 64) * 64), b"\0"), np.uint8)
+        mean = sum(map(int, samples)) / len(samples)
+        deviation = math.sqrt(sum((int(x) - mean) ** 2 for x in samples) / len(samples))
+        assert r.feature == f"{len(samples) // 64}x64 {mean:.4f} {deviation:.4f} {list(samples).count(0)}"
+
+
 def test_chat(spark):
     rows = [
         (1, 2, "assistant", "<|end|>\\1"), (1, 0, "user", "a\\0<|part|>"), (1, 1, "assistant", "b|"), (1, 1, "assistant", "b|"), (2, None, None, None), (2, 5, "as|>sis", "<"), (None, 1, "assistant", "é中🙂"),
