@@ -143,7 +143,7 @@ def fit(training: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel:
 
     scale = 1 << 30
     share = F.create_map(*[F.lit(x) for lang in languages for x in (lang, min(scale, per_language * scale // sizes[lang]))])
-    key = F.pmod(F.xxhash64(F.lit("language"), "doc_id"), F.lit(scale))
+    key = F.pmod(F.xxhash64(F.lit("language"), "doc_id", "text"), F.lit(scale))
     chosen = training.select(key.alias("key"), "lang", "text").where(F.col("key") < share[F.col("lang")])
     rows = chosen.mapInArrow(sampled, "key bigint, lang string, found binary, counts binary").collect()
     rows.sort(key=lambda r: (r.key * 0x9E3779B97F4A7C15 % 2**61, r.key, bytes(r.found)))

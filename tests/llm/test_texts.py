@@ -11,6 +11,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import regex
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -420,6 +421,38 @@ def test_language_id(spark):
     assert {r.lang_pred for r in langid.detect(table.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def plain_grams(text):
+    """Features by definition: each run of one to three characters, hashed by integers."""
+    chars = [c if ord(c) >= 128 or "a" <= c <= "z" else " " for c in text.lower()]
+    out = Counter()
+    for n in (1, 2, 3):
+        for at in range(len(chars) - n + 1):
+            gram = 0
+            for c in chars[at : at + n]:
+                gram = (gram * 0x100000001B3 + ord(c) + 1) % 2**64
+            hashed = gram * langid._SALTS[n - 1] % 2**64 ^ gram >> 29
+            out[(hashed * 0xD6E8FEB86659FD93 % 2**64) >> (64 - langid.FEATURE_BITS)] += 1
+    return out
+
+
+def test_language_scores_by_hand(spark):
+    """Every prediction again, from the model's numbers, in plain Python; ties too."""
+    rows = language_rows()[:120] + [(500, "1a", "en"), (501, "é " * 300, "fr")]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = langid.fit(table.where("doc_id % 5 != 0"), 50)
+    training = [t for i, t, _ in rows if i % 5]
+    seen = Counter(f for t in training for f in plain_grams(t))
+    for r in langid.predict(table, model).collect():
+        counts = plain_grams(dict((i, t) for i, t, _ in rows)[r.doc_id])
+        values = {f: (1 + math.log(c)) * (math.log((1 + len(training)) / (1 + seen[f])) + 1) for f, c in counts.items()}
+        norm = math.sqrt(sum(v * v for v in values.values()))
+        logits = [sum(v / norm * model.weights[f][k] for f, v in values.items()) + model.bias[k] for k in range(len(model.languages))]
+        powers = [math.exp((x - max(logits)) / model.temperature) for x in logits]
+        assert r.lang_pred == model.languages[logits.index(max(logits))] and math.isclose(r.score, max(powers) / sum(powers), rel_tol=1e-6)
+    even = langid.LanguageModel(["aa", "bb"], model.idf, np.zeros((langid.FEATURES, 2)), np.zeros(2), 1.0)
+    assert {(r.lang_pred, r.score) for r in langid.predict(table, even).collect()} == {("aa", 0.5)}
+
+
 def test_grams_of_long_texts(monkeypatch):
     text = "".join(chr(97 + i * i % 23) for i in range(500)) + " ÀÉ, x"
     whole = langid.gram_counts(text)
@@ -454,6 +487,29 @@ def test_quality(spark):
     assert {r.predicted for r in one.collect()} == {1}
 
 
+def test_quality_scores_by_hand(spark):
+    """Scores again from the texts, in plain Python: statistics, rules, weights."""
+    rows = [*quality_rows()[:200], (900, "", 1), (901, None, 0), (902, "A a a\nA a a\n\n1.5 x! y? #", 1), (903, "Ünï ß Ǆ ٣ " * 30, 0), (904, "one\u00a0two\x1cthree. ", 1)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, n int").drop("n")
+    labels = spark.createDataFrame([(i, q) for i, _, q in rows], "doc_id bigint, quality int")
+    model = quality.fit(table, labels)
+    assert model.rules
+    got = {r.doc_id: r for r in quality.score_documents(table, labels).collect()}
+    for i, text, _ in rows:
+        text = text or ""
+        w, lines = WORDS.findall(text), text.split("\n")
+        n, chars = len(w), len(text)
+        marked = lambda pattern: len(regex.findall(pattern, text))  # noqa: B023, E731
+        share = lambda a, b: a / max(b, 1)
+        stats = {
+            "chars": chars, "n": n, "word_length": share(chars, n), "upper_share": share(marked(r"\p{Lu}"), chars), "digit_share": share(marked(r"\p{Nd}"), chars),
+            "stop_share": share(marked(r"[.?!](?=[ \t\n\x0b\f\r]|$)"), n), "symbol_share": share(marked(r"[#$%&*@^~<>{}\[\]|\\]"), n), "mark_share": share(text.count("!"), n),
+            "own_share": share(len(set(w)), n), "twice_share": share(sum(a == b for a, b in zip(w[:-1], w[1:], strict=True)), n), "line_words": share(n, len(lines)), "own_line_share": share(len(set(lines)), len(lines)),
+        }
+        total = model.bias + sum(weight for rule, weight in zip(model.rules, model.weights, strict=True) if all((stats[name] > bound) == above for name, above, bound in rule))
+        assert math.isclose(got[i].score, 1 / (1 + math.exp(-total)), rel_tol=1e-9) and got[i].predicted == (got[i].score >= 0.3)
+
+
 def test_compiled_rules_equal_the_fitted_ones(spark):
     rng = np.random.default_rng(8)
     x = rng.random((300, len(quality.FEATURES))).round(3)
