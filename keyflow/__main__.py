@@ -59,8 +59,8 @@ def main(args: list[str] | None = None) -> int:
     running = []
 
     def make():
-        events = runner.log_stream(spark, c.source.path, control, c.source.db, c.source.max_bytes, c.source.session_id)
-        running[:] = [runner.start(runner.observed(events), sink, f"{c.checkpoint}/stream", trigger)]
+        events = runner.log_stream(spark, c.source.path, control, c.source.db, c.source.max_bytes, c.source.session_id, c.source.start)
+        running[:] = [runner.start(runner.observed(events), sink, runner.stream_checkpoint(c.checkpoint, c.source.start), trigger)]
         return running[0]
 
     if found.once:

@@ -22,6 +22,7 @@ class Source:
     db: str = "db0"
     session_id: int | None = None
     max_bytes: int = 0
+    start: str = ""
 
 
 @dataclass
@@ -125,6 +126,8 @@ def parse(text: str) -> Config:
         if p.driver == "doris" and not p.fenodes or p.driver != "doris" and not p.dsn:
             raise ConfigError("pipeline needs fenodes (doris) or dsn")
         seconds(p.flush_every)
+    if config.source.start and not re.fullmatch(r"earliest|latest|\d+:\d+", config.source.start):
+        raise ConfigError("source.start is earliest, latest or FILE:BYTE")
     for text in (config.heartbeat, config.stall):
         seconds(text)
     if config.metrics and not re.fullmatch(r".*:\d+", config.metrics):

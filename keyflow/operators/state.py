@@ -10,7 +10,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 STATE_SCHEMA = (
@@ -124,12 +124,16 @@ def fold_hashes(events: DataFrame) -> DataFrame:
     """``key, field, value`` of all live hashes, for logs in which a key is only ever a
     hash (HSET, HMSET) or deleted; no Python, one shuffle of partial results a step."""
     at = F.struct("source.filenum", "source.offset", "source.seq")
-    rows = events.withColumn("at", at)
-    wiped = rows.where(F.upper("command").isin("DEL", "UNLINK")).groupBy("key").agg(F.max("at").alias("wiped"))
+    name = F.upper("command")
     pairs = F.transform(F.sequence(F.lit(3), F.size("args") - 1, F.lit(2)), lambda i: F.struct(F.element_at("args", i).alias("field"), F.element_at("args", i + 1).alias("value"), i.alias("i")))
-    cells = rows.where(F.upper("command").isin("HSET", "HMSET") & (F.size("args") >= 4)).select("key", "at", F.explode(pairs).alias("p")).select("key", "p.field", "p.value", F.struct("at", "p.i").alias("at"))
-    live = cells.join(wiped, "key", "left").where(F.col("wiped").isNull() | (F.col("at.at") > F.col("wiped")))
-    return live.groupBy("key", "field").agg(F.max_by("value", "at").alias("value"))
+    gone = F.array(F.struct(F.lit(None).cast("string").alias("field"), F.lit(None).cast("string").alias("value"), F.lit(0).alias("i")))
+    # A deletion is a cell without a field: one pass finds the last of each.
+    steps = F.when(name.isin("DEL", "UNLINK"), gone).when(name.isin("HSET", "HMSET") & (F.size("args") >= 4), pairs)
+    cells = events.select("key", at.alias("at"), F.explode(steps).alias("p")).select("key", "p.field", "p.value", F.struct("at", "p.i").alias("at"))
+    latest = cells.groupBy("key", "field").agg(F.max("at").alias("at"), F.max_by("value", "at").alias("value"))
+    wiped = F.max(F.when(F.col("field").isNull(), F.col("at.at"))).over(Window.partitionBy("key"))
+    live = latest.withColumn("wiped", wiped).where("field IS NOT NULL AND (wiped IS NULL OR at.at > wiped)")
+    return live.select("key", "field", "value")
 
 
 def canonical(state: DataFrame):

@@ -83,14 +83,29 @@ def run_snapshot(state: DataFrame, control: Control, anchor: tuple[int, int], si
     control.save()
 
 
-def log_stream(spark: SparkSession, uri: str, control: Control, db: str = "db0", max_bytes: int = 0, session_id: int | None = None) -> DataFrame:
+def log_stream(spark: SparkSession, uri: str, control: Control, db: str = "db0", max_bytes: int = 0, session_id: int | None = None, start: str = "") -> DataFrame:
     """Streaming events of a log directory, after the anchor. Undecodable entries are
-    left out here; ``bad_stream`` has them."""
+    left out here; ``bad_stream`` has them. ``start``: see ``resolved_start``."""
     register(spark)
-    raw = spark.readStream.format("keyflow_log").option("maxbytes", max_bytes).load(uri)
+    raw = spark.readStream.format("keyflow_log").option("maxbytes", max_bytes).option("startingoffsets", starting_offsets(start)).load(uri)
     return to_events(gate(decode_log(raw, session_id)[0], control.anchor), control.source_id, db)
 
 
+def starting_offsets(start: str) -> str:
+    """``earliest`` (also for no start), ``latest``, or ``FILE:BYTE`` as the source's offset."""
+    if start in ("", "earliest", "latest"):
+        return start or "earliest"
+    file, _, byte = start.partition(":")
+    return json.dumps({"file": int(file), "byte": int(byte)})
+
+
+def stream_checkpoint(checkpoint: str, start: str) -> str:
+    """Where a query keeps its offsets. An explicit start comes before what a checkpoint
+    without it has kept, so it has a checkpoint of its own, in which it then goes on;
+    without one, the checkpoint comes before the log's first entry."""
+    return f"{checkpoint}/stream" + (f"-from-{start.replace(':', '-')}" if start else "")
+
+
 def bad_stream(spark: SparkSession, uri: str, session_id: int | None = None) -> DataFrame:
     register(spark)
     return decode_log(spark.readStream.format("keyflow_log").load(uri), session_id)[1]

@@ -372,6 +372,25 @@ def test_tools(spark, tmp_path, capsys):
     assert "@0:" in capsys.readouterr().out
 
 
+def test_start_order(spark, tmp_path):
+    """An explicit start comes before the checkpoint, that before the log's beginning."""
+    logs = tmp_path / "log"
+    logs.mkdir()
+    data = frames([["SET", f"k{i}", "1"] for i in range(4)])
+    (logs / "1").write_bytes(data)
+    control, uri, seen = runner.Control("", "n"), f"file://{logs}", []
+
+    def run(start):
+        got = []
+        q = runner.start(runner.log_stream(spark, uri, control, start=start), lambda b, _: got.extend(r.key for r in b.collect()), runner.stream_checkpoint(str(tmp_path / "c"), start), trigger=None)
+        q.awaitTermination()
+        seen.append(sorted(got))
+
+    for start in ("", "", f"1:{len(data) // 2}", f"1:{len(data) // 2}", "latest"):
+        run(start)
+    assert seen == [["k0", "k1", "k2", "k3"], [], ["k2", "k3"], [], []]
+
+
 def test_metrics_page():
     metrics = runner.Metrics()
     metrics.add("keyflow_entries_received_total", 3)
