@@ -149,8 +149,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> R
     if not n:
         return RuleModel([], [], 0.0)
     scale = 1 << 30
-    sample = marked.where(F.pmod(F.xxhash64(F.lit("quality"), "__id"), F.lit(scale)) < min(scale, sample_rows * scale // n))
-    # At most about sample_rows rows: a bound that does not depend on the data.
+    sample = marked.where(F.pmod(F.xxhash64(F.lit("quality"), "__id"), F.lit(scale)) < min(scale, sample_rows * scale // n)).distinct()
+    # About sample_rows rows at most, a label of an id once however often it is repeated.
     joined = docs.select(F.col("doc_id").alias("__id"), "text").join(F.broadcast(sample), "__id")
     rows = with_statistics(joined, keep=("__id", "__y")).select("__kept.*", "__stats.*").orderBy("__id", *FEATURES).collect()
     if not rows:
@@ -181,7 +181,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPL
     """``keep`` columns, ``held_out``, ``score`` and ``predicted`` for every row.
 
     Null and empty texts are scored like any other (all statistics 0). Repeated rows
-    and labels count each time; a label without a document has no effect. Extra
+    count each time, repeated labels once; a label without a document has no effect. Extra
     columns are ignored.
     """
     model = fit(docs, labels, sample_rows)
