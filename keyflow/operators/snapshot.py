@@ -78,6 +78,7 @@ def snapshot_events(commands: DataFrame, anchor: tuple[int, int], source_id: str
     sorted within them and written to the shared folder, one file a range. A row's
     number is its place in its file after the rows of the files before: one exchange,
     ranges of even size whatever keys look like, and one short row a file to sum up.
+    ``stage`` stays beside the event's own columns.
     """
     place = ["stage", "key", "part"]
     spark = commands.sparkSession
@@ -89,6 +90,6 @@ def snapshot_events(commands: DataFrame, anchor: tuple[int, int], source_id: str
     before = sizes.select("__file", F.coalesce(F.sum("n").over(Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     log = ranged.join(before, "__file").select(
         F.col("argv").cast("array<binary>").alias("argv"), F.lit(anchor[0]).cast("bigint").alias("filenum"), F.lit(anchor[1]).cast("bigint").alias("offset"),
-        (F.col("before") + F.col("__row") + 1).alias("seq"), F.lit(0).cast("bigint").alias("exec_time_s"),
+        (F.col("before") + F.col("__row") + 1).alias("seq"), F.lit(0).cast("bigint").alias("exec_time_s"), "stage",
     )
     return to_events(log, source_id, db, "snapshot")

@@ -21,6 +21,7 @@ from keyflow.operators.state import canonical, fold_states
 from keyflow.plans.catalog import _STATES, ORACLES, USERS, _states, _with, query
 from keyflow.plans.commandlog import ANCHOR, CELLS_SQL, DB, SOURCE_ID, command_log, log_events, snapshot_state
 from keyflow.sources import files, log_source, workload
+from keyflow.sources.capture import capture
 from keyflow.sources.shared import shared_dir
 from keyflow.streaming import runner, sinks
 
@@ -296,3 +297,54 @@ def q73_probe(spark, sf_dir):
     """A handful of commands of each delicate kind, by key."""
     events = to_events(workload.probe(spark), SOURCE_ID, DB)
     return events.groupBy("key").agg(F.min("data_type").alias("kind"), F.count("*").cast("int").alias("n"))
+
+
+@query(_with("""
+SELECT id, CASE WHEN id % 83 = 1 THEN NULL ELSE off END AS "offset", pb_off AS end_offset, CASE WHEN id % 83 = 1 THEN 'short' WHEN id % 89 = 1 THEN 'length' END AS bad,
+       CASE WHEN id % 83 = 1 OR id % 89 = 1 THEN NULL ELSE command END AS command FROM log"""))
+def q74_independent_capture(spark, sf_dir):
+    """Entries read a second time by other means, damaged ones with their reason; the
+    entries' places come from the frames around them."""
+    from keyflow.plans.catalog import _raw_log
+
+    truth = capture(_raw_log(spark, sf_dir).withColumn("binlog", F.when(F.octet_length("binlog") == 40, F.substring("binlog", 1, 30)).otherwise(F.col("binlog"))))
+    ident = F.col("pef") * 1000 + F.expr("peo div 64") - 1
+    return truth.select(ident.alias("id"), F.col("o").alias("offset"), F.col("peo").alias("end_offset"), "bad", F.col("cmd").alias("command"))
+
+
+@query(_with("""
+SELECT kind, count(*) AS n FROM (SELECT CASE WHEN id % 83 = 1 OR id % 89 = 1 THEN 'unread' ELSE 'ok' END AS kind FROM log) GROUP BY kind"""))
+def q75_decoders_agree(spark, sf_dir):
+    """Events of the decoder against the independent reading, by position."""
+    from keyflow.plans.catalog import _raw_log
+
+    raw = _raw_log(spark, sf_dir)
+    events = to_events(decode_log(raw, 5)[0], SOURCE_ID, DB).select("source.filenum", "source.offset", "command", "key")
+    truth = capture(raw)
+    read = truth.where("bad IS NULL").select(F.col("f").alias("filenum"), F.col("o").alias("offset"), F.col("cmd").alias("command"), "key")
+    found = verify.audit(read, events).groupBy("kind").agg(F.count("*").alias("n"))
+    return found.unionByName(truth.where("bad IS NOT NULL").agg(F.count("*").alias("n")).select(F.lit("unread").alias("kind"), "n"))
+
+
+@query("""
+SELECT phase, command, count(*) AS n, min(b) AS first_batch FROM (
+  SELECT 'snapshot' AS phase, 'SET' AS command, -1 AS b FROM nation UNION ALL SELECT 'snapshot', 'HMSET', -3 FROM customer
+  UNION ALL SELECT 'snapshot', 'EXPIRE', -3 FROM customer WHERE c_custkey % 10 = 0) GROUP BY phase, command""")
+def q76_resumed_snapshot(spark, sf_dir):
+    """A snapshot job that fails after its first type goes on with the next."""
+    place, out = _place(spark, "control"), _place(spark, "out")
+
+    def sink(batch, number):
+        if number == -3 and not failed:
+            failed.append(number)
+            raise RuntimeError("cut short")
+        batch.select("phase", "command", F.lit(number).alias("b")).write.mode("append").parquet(out)
+
+    failed = []
+    for _ in range(2):
+        control = runner.Control(place, SOURCE_ID).load()
+        try:
+            runner.run_snapshot(snapshot_state(spark, sf_dir), control, ANCHOR, sink)
+        except RuntimeError:
+            pass
+    return spark.read.parquet(out).groupBy("phase", "command").agg(F.count("*").alias("n"), F.min("b").alias("first_batch"))

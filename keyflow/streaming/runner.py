@@ -44,6 +44,7 @@ class Control:
     source_id: str
     anchor: tuple[int, int] | None = None
     snapshot_done: bool = False
+    stages_done: list[int] = field(default_factory=list)
     run_id: str = field(default_factory=lambda: uuid.uuid4().hex[:12])
 
     def _place(self) -> tuple[pafs.FileSystem, str]:
@@ -62,23 +63,33 @@ class Control:
             raise SourceMismatch(f"the checkpoint belongs to {kept['source_id']}, not {self.source_id}")
         self.anchor = tuple(kept["anchor"]) if kept["anchor"] else None
         self.snapshot_done, self.run_id = kept["snapshot_done"], kept.get("run_id", self.run_id)
+        self.stages_done = kept.get("stages_done", [])
         return self
 
     def save(self) -> None:
         """Whole or not at all: written aside, then renamed."""
         fs, path = self._place()
         with fs.open_output_stream(path + ".new") as f:
-            f.write(json.dumps({"source_id": self.source_id, "anchor": self.anchor, "snapshot_done": self.snapshot_done, "run_id": self.run_id}).encode())
+            f.write(json.dumps({"source_id": self.source_id, "anchor": self.anchor, "snapshot_done": self.snapshot_done, "stages_done": self.stages_done, "run_id": self.run_id}).encode())
         fs.move(path + ".new", path)
 
 
 def run_snapshot(state: DataFrame, control: Control, anchor: tuple[int, int], sink: Sink, db: str = "db0", **scan_options) -> None:
-    """Write the snapshot unless it is done; done is recorded after the sink returned."""
+    """Write the snapshot unless it is done, type by type in scan order; each is recorded
+    as done after the sink returned, so that a run that was cut short goes on after the
+    last one. A scan of the same state at the same anchor numbers its events alike."""
     if control.snapshot_done:
         return
-    control.anchor = anchor
-    control.save()
-    sink(snapshot_events(scan(state, **scan_options), anchor, control.source_id, db), -1)
+    if control.anchor != anchor:
+        control.anchor, control.stages_done = anchor, []
+        control.save()
+    events = snapshot_events(scan(state, **scan_options), anchor, control.source_id, db)
+    for stage in sorted(r.stage for r in events.select("stage").distinct().collect()):  # five at most
+        if stage in control.stages_done:
+            continue
+        sink(events.where(F.col("stage") == stage).drop("stage"), -1 - stage)
+        control.stages_done.append(stage)
+        control.save()
     control.snapshot_done = True
     control.save()
 
