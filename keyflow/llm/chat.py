@@ -30,6 +30,13 @@ def unescape(text: Column) -> Column:
     return text
 
 
+def settled(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with more columns, each computed once a row: a generator stands between them
+    and what uses them. Without it, an array that is used once, but inside a function
+    over elements, would be computed again for every element."""
+    return df.select(*df.columns, F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))).alias("__settled")).select(*df.columns, "__settled.*")
+
+
 def format_conversations(turns: DataFrame, loss_role: str = LOSS_ROLE) -> DataFrame:
     """``conv_id, formatted, loss_spans`` for each conversation of ``turns``.
 
@@ -42,31 +49,31 @@ def format_conversations(turns: DataFrame, loss_role: str = LOSS_ROLE) -> DataFr
     said = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     told = turns.select("conv_id", said.alias("s")).groupBy("conv_id").agg(F.collect_list("s").alias("said"))
     # Layers, each used by name in the next, so that nothing is computed twice or per element.
-    told = told.select("conv_id", F.transform(F.array_sort("said"), lambda x: F.struct(escape(x["role"]).alias("role"), escape(x["text"]).alias("text"), x["role"].eqNullSafe(F.lit(loss_role)).alias("loss"))).alias("said"))
+    told = settled(
+        told.withColumnRenamed("said", "__raw"),
+        said=F.transform(F.array_sort("__raw"), lambda x: F.struct(escape(x["role"]).alias("role"), escape(x["text"]).alias("text"), x["role"].eqNullSafe(F.lit(loss_role)).alias("loss"))),
+    ).drop("__raw")
     number = F.sequence(F.lit(0), F.size("said") - 1)
-    opens = F.filter(number, lambda i: (i == 0) | (F.get("said", i)["role"] != F.get("said", i - 1)["role"]))
-    told = told.select("conv_id", "said", opens.alias("opens"))
+    told = settled(told, opens=F.filter(number, lambda i: (i == 0) | (F.get("said", i)["role"] != F.get("said", i - 1)["role"])))
     # The turns of a block: from its opening turn to the next one's.
     block = lambda a, k: F.slice("said", a + 1, F.coalesce(F.get("opens", k + 1), F.size("said")) - a)
     shown = F.array_join(
         F.transform("opens", lambda a, k: F.concat(F.lit(OPEN), F.get("said", a)["role"], F.lit(CLOSE), F.array_join(F.transform(block(a, k), lambda x: x["text"]), PART), F.lit(END))), ""
     )
     opening = F.flatten(F.transform("opens", lambda a, k: F.transform(block(a, k), lambda x, i: i == 0)))
-    told = told.select("conv_id", "said", shown.alias("formatted"), opening.alias("opening"))
+    told = settled(told, formatted=shown, opening=opening)
     # Characters before each text since the text before it, and the text's own.
-    head = F.transform(
+    told = settled(told, head=F.transform(
         "said", lambda x, i: F.when(F.get("opening", i), F.length(x["role"]) + len(OPEN) + len(CLOSE) + F.when(i > 0, len(END)).otherwise(0)).otherwise(len(PART))
-    )
-    told = told.select("conv_id", "said", "formatted", head.alias("head"))
-    told = told.select("conv_id", "said", "formatted", "head", F.zip_with("head", "said", lambda h, x: (h + F.length(x["text"])).cast("bigint")).alias("steps"))
+    ))
+    told = settled(told, steps=F.zip_with("head", "said", lambda h, x: (h + F.length(x["text"])).cast("bigint")))
     added = lambda xs: F.aggregate(xs, F.lit(0).cast("bigint"), lambda acc, x: acc + x)
-    pages = F.transform(F.sequence(F.lit(0), F.floor((F.size("steps") - 1) / SUM_TURNS).cast("int")), lambda p: added(F.slice("steps", p * SUM_TURNS + 1, F.lit(SUM_TURNS))))
-    told = told.select("conv_id", "said", "formatted", "head", "steps", pages.alias("pages"))
-    told = told.withColumn("before", F.transform("pages", lambda x, p: added(F.slice("pages", F.lit(1), p))))
+    last = F.floor((F.size("steps") - 1) / SUM_TURNS).cast("int")
+    told = settled(told, pages=F.transform(F.sequence(F.lit(0), last), lambda p: added(F.slice("steps", p * SUM_TURNS + 1, F.lit(SUM_TURNS)))))
+    told = settled(told, before=F.transform("pages", lambda x, p: added(F.slice("pages", F.lit(1), p))))
     page = lambda i: F.floor(i / SUM_TURNS).cast("int")
     start = lambda i: F.get("before", page(i)) + added(F.slice("steps", page(i) * SUM_TURNS + 1, i - page(i) * SUM_TURNS)) + F.get("head", i)
-    starts = F.transform("said", lambda x, i: F.when(x["loss"], start(i)))
-    told = told.select("conv_id", "said", "formatted", starts.alias("starts"))
+    told = settled(told, starts=F.transform("said", lambda x, i: F.when(x["loss"], start(i))))
     ranges = F.zip_with("starts", "said", lambda a, x: F.struct(a.cast("bigint").alias("start"), (a + F.length(x["text"])).cast("bigint").alias("stop")))
     return told.select("conv_id", "formatted", F.filter(ranges, lambda r: r["start"].isNotNull()).alias("loss_spans"))
 
@@ -90,7 +97,7 @@ def with_loss_text(df: DataFrame, formatted: str = "formatted", spans: str = "lo
 
     The text is cut into pages once, so that a span is looked up in its own pages.
     """
-    df = df.withColumn("__pages", F.regexp_extract_all(F.col(formatted), F.lit(f"(?s)(.{{1,{PAGE_CHARS}}})"), F.lit(1)))
+    df = settled(df, __pages=F.regexp_extract_all(F.col(formatted), F.lit(f"(?s)(.{{1,{PAGE_CHARS}}})"), F.lit(1)))
 
     def text(s: Column) -> Column:
         first, last = F.floor(s["start"] / PAGE_CHARS).cast("int"), F.floor((s["stop"] - 1) / PAGE_CHARS).cast("int")
@@ -111,7 +118,7 @@ def op5(spark, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"),
     )
     out = format_conversations(turns.unionByName(extra))
-    out = with_loss_text(out.withColumn("turns", read_turns(F.col("formatted"))))
+    out = with_loss_text(settled(out, turns=read_turns(F.col("formatted"))))
     return out.select(
         "conv_id", F.size("turns").cast("bigint").alias("n_turns"),
         F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""), 256).alias("turns_sha256"),
