@@ -245,8 +245,8 @@ def q70_captured_log(spark, sf_dir):
 def q71_streamed_log(spark, sf_dir):
     """The same files as a stream from the anchor on, in batches of bounded bytes."""
     control = runner.Control("", SOURCE_ID, ANCHOR)
-    events = runner.log_stream(spark, _captured(spark, sf_dir), control, DB, max_bytes=150_000, session_id=5)
-    return runner.collected(events.select("key", "source.filenum")).groupBy("key").agg(F.count("*").alias("n"), F.min("filenum").alias("first_file"))
+    events = runner.log_stream(spark, _captured(spark, sf_dir), control, DB, max_bytes=500_000, session_id=5)
+    return runner.collected(events.select("key", "source.filenum"), bounded=True).groupBy("key").agg(F.count("*").alias("n"), F.min("filenum").alias("first_file"))
 
 
 @query("""

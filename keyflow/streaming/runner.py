@@ -159,9 +159,10 @@ def supervise(
             time.sleep(pause)
 
 
-def collected(stream: DataFrame, mode: str = "append") -> DataFrame:
+def collected(stream: DataFrame, mode: str = "append", bounded: bool = False) -> DataFrame:
     """Run a stream over all that is there and read what it gave: the batches appended,
-    or, in complete mode, the last one. Checkpoint and output go to the folder that
+    or, in complete mode, the last one. A source in ``bounded`` batches fixes its end when
+    a query starts, so the query is run again until it finds nothing new. Checkpoint and output go to the folder that
     ``spark.checkpoint.dir`` names (a temporary one where it is unset)."""
     spark = stream.sparkSession
     place = f"{shared_dir(spark)}/keyflow-{uuid.uuid4().hex}"
@@ -169,8 +170,11 @@ def collected(stream: DataFrame, mode: str = "append") -> DataFrame:
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{place}/out" if mode == "complete" else f"{place}/out/batch={number}")
 
-    query = stream.writeStream.outputMode(mode).foreachBatch(keep).option("checkpointLocation", f"{place}/checkpoint").trigger(availableNow=True).start()
-    query.awaitTermination()
+    while True:
+        query = stream.writeStream.outputMode(mode).foreachBatch(keep).option("checkpointLocation", f"{place}/checkpoint").trigger(availableNow=True).start()
+        query.awaitTermination()
+        if not bounded or not any(p["numInputRows"] for p in query.recentProgress):
+            break
     return spark.read.schema(stream.schema).parquet(f"{place}/out").select(*stream.columns)
 
 
