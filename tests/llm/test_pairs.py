@@ -71,6 +71,27 @@ def test_components(spark):
     assert connected_components(edges.limit(0)).count() == 0
 
 
+def test_leaves_bounded_in_bytes(docs, monkeypatch):
+    """Nodes cut into blocks of a few hundred bytes, long texts included, find the same."""
+    rows = lambda: sorted((str(r.id), r.n_copies, r.n_links, str(r.class_id)) for r in near.jaccard_classes(docs).collect())
+    whole = rows()
+    monkeypatch.setattr(near, "LEAF_BYTES", 400)
+    assert rows() == whole
+
+
+def test_sketches_keep_pairs_at_the_threshold():
+    """The cut misses a pair at the threshold as seldom as it says, and parts others."""
+    cut = near.sketch_cut(42, 0.8)
+    below = lambda p: sum(math.comb(42, k) * p**k * (1 - p) ** (42 - k) for k in range(cut))
+    assert below(0.8) <= near.SKETCH_MISS < below(0.8) + math.comb(42, cut) * 0.8**cut * 0.2 ** (42 - cut) and below(0.2) > 0.99
+    rng = np.random.default_rng(2)
+    one = rng.integers(0, 128, 42)
+    near_one, far = np.where(np.arange(42) < 42 - cut, rng.integers(0, 128, 42), one), rng.integers(0, 128, 42)
+    some = np.array([one, far, near_one], dtype=np.int8)
+    assert near.maybe_linked(some, np.array([0, 0, 1]), False, cut).tolist() == [True, False, True]
+    assert near.maybe_linked(some, np.array([0, 0, 0]), True, cut).tolist() == [False] * 3
+
+
 @pytest.mark.parametrize("tile_rows", [4096, 16])
 def test_near_vectors(spark, tile_rows):
     rng = np.random.default_rng(1)
