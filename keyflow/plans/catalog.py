@@ -31,6 +31,7 @@ ORACLES: dict = {}
 USERS = Rule(table="ods_user", pk=["uid"], types=["hash"], key_pattern="user:{uid}", fields={"name": "name", "tier": "tier", "last_view": "last_view", "clicks": "clicks"})
 ACCOUNTS = Rule(table="ods_account", pk=["id"], types=["string"], key_pattern="acct:{id}", value_json=True, json_columns=["balance", "k"])
 RULES = [USERS, ACCOUNTS]
+SESSION_GAP_S = 6 * 3600
 
 
 def query(oracle: str | None = None):
@@ -396,9 +397,14 @@ def q29_sliding_windows(spark, sf_dir):
 sessions AS (SELECT user_id, t, sum(opens) OVER (PARTITION BY user_id ORDER BY t) AS s FROM gaps)
 SELECT user_id, min(t) AS start_s, max(t) + 21600 AS end_s, count(*) AS n FROM sessions GROUP BY user_id, s"""))
 def q30_session_windows(spark, sf_dir):
-    log = log_events(spark, sf_dir).withColumn("at", F.timestamp_seconds("source.exec_time_s")).withColumn("user_id", F.regexp_extract("key", r":(\d+)$", 1).cast("bigint"))
-    return log.groupBy("user_id", F.session_window("at", "6 hours").alias("w")).agg(F.count("*").alias("n")).select(
-        "user_id", F.unix_timestamp("w.start").alias("start_s"), F.unix_timestamp("w.end").alias("end_s"), "n")
+    """A session ends once its key rests for 6 hours. (``session_window`` joins events
+    exactly its gap apart and drops those without a time.)"""
+    user = F.regexp_extract("key", r":(-?\d+)$", 1).try_cast("bigint")  # null for a key of no user
+    times = log_events(spark, sf_dir).groupBy(user.alias("user_id"), F.col("source.exec_time_s").alias("t")).agg(F.count("*").alias("n"))
+    by_time = Window.partitionBy("user_id").orderBy("t")
+    opens = F.when(F.col("t") - F.lag("t").over(by_time) < SESSION_GAP_S, 0).otherwise(1)
+    sessions = times.withColumn("opens", opens).withColumn("s", F.sum("opens").over(by_time.rowsBetween(Window.unboundedPreceding, 0)))
+    return sessions.groupBy("user_id", "s").agg(F.min("t").alias("start_s"), (F.max("t") + SESSION_GAP_S).alias("end_s"), F.sum("n").alias("n")).drop("s")
 
 
 @query("""

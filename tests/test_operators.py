@@ -11,6 +11,7 @@ from keyflow.operators.coalesce import apply_to_table, coalesce_rows
 from keyflow.operators.gate import first_seen, gate
 from keyflow.operators.rules import Rule, RuleError, map_events
 from keyflow.operators.state import KeyState, canonical, fold_hashes, fold_states
+from keyflow.plans import catalog
 from keyflow.sources import workload
 
 LOG = "filenum bigint, offset bigint, seq bigint, exec_time_s bigint, argv array<string>"
@@ -207,3 +208,13 @@ def test_compare_and_report(spark):
     b = spark.createDataFrame([("b", "2"), ("c", "4"), ("d", "5")], "key string, state string")
     assert {r.key: r.kind for r in verify.compare_states(a, b).collect()} == {"a": "missing", "c": "value", "d": "extra"}
     assert {r.kind: (r.n, r["keys"]) for r in verify.report(verify.compare_states(a, b)).collect()} == {"missing": (1, ["a"]), "value": (1, ["c"]), "extra": (1, ["d"])}
+
+
+def test_sessions_end_at_the_gap(spark, tmp_path):
+    """Events exactly the gap apart are in two sessions; those without a time or a user count."""
+    gap, at = 21600, "timestamp_seconds({})::timestamp_ntz"
+    rows = [(1, gap), (1, 2 * gap), (1, 3 * gap - 1), (1, f"{3 * gap - 1}.5"), (1, "NULL"), (1, "NULL"), ("NULL", 5), (-5, 7)]
+    values = ", ".join(f"({i}L, {at.format(t)}, CAST({user} AS BIGINT), 'view', 1D, '{{\"k\": 1}}')" for i, (user, t) in enumerate(rows))
+    spark.sql(f"SELECT * FROM VALUES {values} AS t(event_id, ts, user_id, event_type, value, props)").write.parquet(str(tmp_path / "events.parquet"))
+    got = {tuple(r) for r in catalog.QUERIES["q30_session_windows"](spark, str(tmp_path)).collect()}
+    assert got == {(1, gap, 2 * gap, 1), (1, 2 * gap, 4 * gap - 1, 3), (1, None, None, 2), (None, 5, gap + 5, 1), (-5, 7, gap + 7, 1)}
