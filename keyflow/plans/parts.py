@@ -243,10 +243,10 @@ def q70_captured_log(spark, sf_dir):
 
 @query(_with(f"""SELECT key, count(*) AS n, min(filenum) AS first_file FROM log WHERE (filenum, pb_off) > ({ANCHOR[0]}, {ANCHOR[1]}) GROUP BY key"""))
 def q71_streamed_log(spark, sf_dir):
-    """The same files as a stream from the anchor on, in batches of bounded bytes."""
+    """The same files as streams from the anchor on, in batches of bounded bytes."""
     control = runner.Control("", SOURCE_ID, ANCHOR)
-    events = runner.log_stream(spark, _captured(spark, sf_dir), control, DB, max_bytes=500_000, session_id=5)
-    return runner.collected(events.select("key", "source.filenum"), bounded=True).groupBy("key").agg(F.count("*").alias("n"), F.min("filenum").alias("first_file"))
+    lanes = runner.log_lanes(spark, _captured(spark, sf_dir), control, DB, max_bytes=500_000, session_id=5)
+    return runner.collected([events.select("key", "source.filenum") for events in lanes], bounded=True).groupBy("key").agg(F.count("*").alias("n"), F.min("filenum").alias("first_file"))
 
 
 @query("""

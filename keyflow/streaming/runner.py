@@ -12,6 +12,7 @@ import threading
 import time
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 
@@ -94,14 +95,23 @@ def run_snapshot(state: DataFrame, control: Control, anchor: tuple[int, int], si
     control.save()
 
 
-def log_stream(spark: SparkSession, uri: str, control: Control, db: str = "db0", max_bytes: int = 0, session_id: int | None = None, start: str = "") -> DataFrame:
+def log_stream(spark: SparkSession, uri: str, control: Control, db: str = "db0", max_bytes: int = 0, session_id: int | None = None, start: str = "", lane: int = 0, lanes: int = 1) -> DataFrame:
     """Streaming events of a log directory, after the anchor. Undecodable entries are
     left out here; ``bad_stream`` has them. ``start``: see ``resolved_start``."""
     register(spark)
-    raw = spark.readStream.format("keyflow_log").option("maxbytes", max_bytes).option("startingoffsets", starting_offsets(start)).load(uri)
+    options = {"maxbytes": max_bytes, "startingoffsets": starting_offsets(start), "lane": lane, "lanes": lanes}
+    raw = spark.readStream.format("keyflow_log").options(**options).load(uri)
     return to_events(gate(decode_log(raw, session_id)[0], control.anchor), control.source_id, db)
 
 
+def log_lanes(spark: SparkSession, *args, **options) -> list[DataFrame]:
+    """The streams of ``log_stream`` by file, as many as the session has cores, 8 at most.
+    A small batch mostly waits for its bookkeeping, so streams side by side drain a long
+    log sooner. Each keeps its own files in order; across them there is none."""
+    lanes = max(1, min(8, spark.sparkContext.defaultParallelism))
+    return [log_stream(spark, *args, lane=i, lanes=lanes, **options) for i in range(lanes)]
+
+
 def starting_offsets(start: str) -> str:
     """``earliest`` (also for no start), ``latest``, or ``FILE:BYTE`` as the source's offset."""
     if start in ("", "earliest", "latest"):
@@ -159,23 +169,34 @@ def supervise(
             time.sleep(pause)
 
 
-def collected(stream: DataFrame, mode: str = "append", bounded: bool = False) -> DataFrame:
-    """Run a stream over all that is there and read what it gave: the batches appended,
-    or, in complete mode, the last one. A source in ``bounded`` batches fixes its end when
-    a query starts, so the query is run again until it finds nothing new. Checkpoint and output go to the folder that
-    ``spark.checkpoint.dir`` names (a temporary one where it is unset)."""
-    spark = stream.sparkSession
+def collected(stream: DataFrame | list[DataFrame], mode: str = "append", bounded: bool = False) -> DataFrame:
+    """Run a stream, or several side by side, over all that is there and read what they
+    gave: the batches appended, or, in complete mode, the last one of the only stream. A
+    source in ``bounded`` batches would fix its end after one batch if it were to take what
+    is available when its query starts; that query runs until it finds nothing new.
+    Checkpoint and output go to the folder that ``spark.checkpoint.dir`` names (a temporary
+    one where it is unset)."""
+    streams = stream if isinstance(stream, list) else [stream]
+    spark = streams[0].sparkSession
     place = f"{shared_dir(spark)}/keyflow-{uuid.uuid4().hex}"
 
-    def keep(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{place}/out" if mode == "complete" else f"{place}/out/batch={number}")
+    def writer(lane: int):
+        def keep(batch: DataFrame, number: int) -> None:
+            batch.write.mode("overwrite").parquet(f"{place}/out" if mode == "complete" else f"{place}/out/lane={lane}/batch={number}")
 
-    while True:
-        query = stream.writeStream.outputMode(mode).foreachBatch(keep).option("checkpointLocation", f"{place}/checkpoint").trigger(availableNow=True).start()
-        query.awaitTermination()
-        if not bounded or not any(p["numInputRows"] for p in query.recentProgress):
-            break
-    return spark.read.schema(stream.schema).parquet(f"{place}/out").select(*stream.columns)
+        out = streams[lane].writeStream.outputMode(mode).foreachBatch(keep).option("checkpointLocation", f"{place}/checkpoint-{lane}")
+        return out if bounded else out.trigger(availableNow=True)
+
+    def run(writer) -> None:
+        query = writer.start()
+        try:
+            query.processAllAvailable() if bounded else query.awaitTermination()
+        finally:
+            query.stop()
+
+    with ThreadPoolExecutor(len(streams)) as pool:
+        list(pool.map(run, [writer(lane) for lane in range(len(streams))]))
+    return spark.read.schema(streams[0].schema).parquet(f"{place}/out").select(*streams[0].columns)
 
 
 def drain(make: Callable[[], StreamingQuery], restarts: int = 5, pause: float = 1.0) -> None:

@@ -7,6 +7,7 @@ from http.server import BaseHTTPRequestHandler, HTTPServer
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from keyflow import __main__, config, tools
 from keyflow.functions.decode import resp_bytes
@@ -351,6 +352,52 @@ def test_log_ends(tmp_path):
     assert steps == {"file": 2, "byte": len(two)}
 
 
+def test_long_logs_list_once(tmp_path, monkeypatch):
+    """Closed files are listed once however many batches they make; the newest is looked at again."""
+    one = frames([["SET", "a", "1"]] * 2)
+    for n in range(12):
+        (tmp_path / str(n)).write_bytes(one)
+    calls, files_of = [], log_source._files
+    monkeypatch.setattr(log_source, "_files", lambda uri: calls.append(uri) or files_of(uri))
+    reader = log_source.LogStreamReader({"path": f"file://{tmp_path}", "maxbytes": str(len(one))})
+    at = reader.initialOffset()
+    for n in range(11):
+        end = reader.latestOffset()
+        assert end == {"file": n, "byte": len(one)}
+        assert [(r.path[-1], r.start, r.stop) for t in reader.partitions(at, end) for r in t.ranges] == [(str(n)[-1], 0, len(one))]
+        at = end
+    assert len(calls) == 1
+    assert reader.latestOffset() == {"file": 11, "byte": len(one)} == reader.latestOffset()
+    (tmp_path / "11").write_bytes(one + one)
+    (tmp_path / "12").write_bytes(one)
+    assert reader.latestOffset() == {"file": 11, "byte": 2 * len(one)} and reader.latestOffset() == {"file": 12, "byte": len(one)}
+
+
+def test_tasks_share_small_files(spark, tmp_path, monkeypatch):
+    ranges = [log_source.FileRange(str(n), 0, size) for n, size in enumerate((4, 5, 2, 30, 1))]
+    monkeypatch.setattr(log_source, "TASK_BYTES", 10)
+    assert [[r.path for r in t.ranges] for t in log_source._tasks(ranges)] == [["0", "1"], ["2"], ["3"], ["4"]]
+    assert [t.ranges for t in log_source._tasks([])] == [[]]
+
+
+@pytest.mark.parametrize("lanes", [1, 3])
+def test_bounded_batches_in_one_query(spark, tmp_path, monkeypatch, lanes):
+    """All batches of a bounded stream come from one query, also when lanes share the log;
+    every frame once, each lane's batches within the bound."""
+    logs = tmp_path / "log"
+    logs.mkdir()
+    for n in range(7):
+        (logs / str(n)).write_bytes(frames([["SET", f"k{n}-{i}", "1"] for i in range(4)], n))
+    one, started, start = len(frames([["SET", "k0-0", "1"]])), [], DataStreamWriter.start
+    monkeypatch.setattr(DataStreamWriter, "start", lambda self, *a, **o: started.append(1) or start(self, *a, **o))
+    control = runner.Control("", "n", (0, 100))
+    streams = [runner.log_stream(spark, f"file://{logs}", control, max_bytes=3 * one, lane=i, lanes=lanes).select("key") for i in range(lanes)]
+    got = runner.collected(streams if lanes > 1 else streams[0], bounded=True)
+    assert sorted(r.key for r in got.collect()) == sorted(f"k{n}-{i}" for n in range(7) for i in range(4) if (n, i) != (0, 0))
+    batches = got.groupBy(F.regexp_extract(F.input_file_name(), "lane=.*batch=\\d+", 0)).count().collect()
+    assert len(started) == lanes and len(batches) >= 7 and max(r["count"] for r in batches) <= 3
+
+
 def test_tools(spark, tmp_path, capsys):
     a, b = str(tmp_path / "a"), str(tmp_path / "b")
     assert tools.main(["mutate", "--out", a, "--operations", "60", "--keys", "11", "--source", "s"]) == 0
