@@ -105,10 +105,11 @@ def log_stream(spark: SparkSession, uri: str, control: Control, db: str = "db0",
 
 
 def log_lanes(spark: SparkSession, *args, **options) -> list[DataFrame]:
-    """The streams of ``log_stream`` by file, as many as the session has cores, 8 at most.
-    A small batch mostly waits for its bookkeeping, so streams side by side drain a long
-    log sooner. Each keeps its own files in order; across them there is none."""
-    lanes = max(1, min(8, spark.sparkContext.defaultParallelism))
+    """The streams of ``log_stream`` by file, as many as the session has cores, 4 at most
+    (each keeps a Python process of some 60 MB at the driver). A small batch mostly waits
+    for its bookkeeping, so streams side by side drain a long log sooner. Each keeps its
+    own files in order; across them there is none."""
+    lanes = max(1, min(4, spark.sparkContext.defaultParallelism))
     return [log_stream(spark, *args, lane=i, lanes=lanes, **options) for i in range(lanes)]
 
 
